@@ -57,11 +57,17 @@ def box_of(struct: Column) -> Box:
 # ---------------------------------------------------------------- boxes
 
 
+def _at_least_zero(value: Column) -> Column:
+    """Like ``greatest(0, value)``, but an unknown value stays unknown."""
+    return F.when(value < 0, F.lit(0)).otherwise(value)
+
+
 def clamp(b: Box, frame_w: Number, frame_h: Number) -> Box:
     """Cut a box to the frame. The origin moves first; the width is only cut on the far side."""
-    x, y = F.greatest(F.lit(0), b.x), F.greatest(F.lit(0), b.y)
-    w = F.greatest(F.lit(0), F.least(b.w, _c(frame_w) - x))
-    h = F.greatest(F.lit(0), F.least(b.h, _c(frame_h) - y))
+    x, y = _at_least_zero(b.x), _at_least_zero(b.y)
+    room_w, room_h = _c(frame_w) - x, _c(frame_h) - y
+    w = _at_least_zero(F.when(b.w > room_w, room_w).otherwise(b.w))
+    h = _at_least_zero(F.when(b.h > room_h, room_h).otherwise(b.h))
     return Box(x, y, w, h)
 
 
@@ -86,13 +92,15 @@ def bottom_center(b: Box) -> tuple[Column, Column]:
 
 
 def iou(a: Box, b: Box) -> Column:
+    """Shared area over joint area; null when one of the boxes is missing."""
     zero = F.lit(0)
     overlap_w = F.greatest(zero, F.least(a.right, b.right) - F.greatest(a.x, b.x))
     overlap_h = F.greatest(zero, F.least(a.bottom, b.bottom) - F.greatest(a.y, b.y))
     shared = (overlap_w * overlap_h).cast("double")
     area_a = F.greatest(zero, a.w) * F.greatest(zero, a.h)
     area_b = F.greatest(zero, b.w) * F.greatest(zero, b.h)
-    return shared / (area_a + area_b - shared + F.lit(1e-9))
+    # greatest and least skip nulls, so a missing box has to be ruled out explicitly
+    return F.when(a.w.isNotNull() & b.w.isNotNull(), shared / (area_a + area_b - shared + F.lit(1e-9)))
 
 
 def covers(b: Box, px: Column, py: Column) -> Column:

@@ -179,7 +179,9 @@ def run_rule(df: DataFrame, rule: Rule, keys: Sequence[str], order: Sequence[str
         columns = [F.col(c) for c in (*keys, "_chunk", "_warm", "_given")] + [F.col(time).alias("_now")]
         columns += [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
         columns += [F.col(c).alias(f"_p{i}") for i, c in enumerate((*keep, *rule.inputs))]
-        placed = rows.select(*columns).repartition(*keys, "_chunk")
+        # a fixed number: the rule is bound by Python time, not by the bytes adaptive coalescing looks at
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = rows.select(*columns).repartition(parts, *keys, "_chunk")
         ordered = placed.sortWithinPartitions(*keys, "_chunk", *(f"_o{i}" for i in range(len(order))))
         return ordered.mapInArrow(body, schema)
 
