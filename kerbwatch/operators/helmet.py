@@ -164,13 +164,21 @@ def _by_joins(dets: DataFrame, max_boxes: int) -> DataFrame:
         F.struct("vehicle_det_id", (-F.col("score")).alias("wish"), "person_det_id").alias("seq"))))
 
 
+ORDER = ["frame_number", "strategy", "place", "wish", "rider"]
+
+
+def ordered_candidates(dets: DataFrame, max_boxes: int = relate.MAX_BOXES) -> DataFrame:
+    """Candidates with the point they are compared by and flat order columns: input of ``rules.HelmetWatch``."""
+    found = candidates(dets, max_boxes)
+    seen = F.when(F.col("direct"), F.col("head_box")).otherwise(F.col("box"))
+    return found.withColumns({
+        "cx": g.box_of(seen).mid_x, "cy": g.box_of(seen).mid_y, "strategy": F.when(F.col("direct"), 1).otherwise(2),
+        "place": F.col("seq.vehicle_det_id"), "wish": F.col("seq.wish"), "rider": F.col("seq.person_det_id")}).drop("seq")
+
+
 def helmet_watch(dets: DataFrame, max_boxes: int = relate.MAX_BOXES, **chunks) -> DataFrame:
     """Violations and protected riders with their track, after repeat suppression."""
-    found = candidates(dets, max_boxes)
-    centre = F.when(F.col("direct"), g.box_of(F.col("head_box")).mid_x).otherwise(g.box_of(F.col("box")).mid_x)
-    middle = F.when(F.col("direct"), g.box_of(F.col("head_box")).mid_y).otherwise(g.box_of(F.col("box")).mid_y)
-    found = found.withColumns({"cx": centre, "cy": middle, "strategy": F.when(F.col("direct"), 1).otherwise(2)})
-    return fold.run_rule(found, rules.HelmetWatch(), ["camera_id"], ["frame_number", "strategy", "seq"],
+    return fold.run_rule(ordered_candidates(dets, max_boxes), rules.HelmetWatch(), ["camera_id"], ORDER,
                          ["frame_number", "ts_sec", "box", "head_box", "confidence", "method", "on_vehicle"],
                          new_id="track_id", **chunks)
 
