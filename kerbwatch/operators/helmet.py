@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbwatch.functions import geometry as g
@@ -35,133 +35,70 @@ def direct_method(on_vehicle: Column) -> Column:
     return F.when(on_vehicle, "direct_no_helmet").otherwise("head_only_detection")
 
 
-def _seq(first: Column) -> Column:
-    """Place of a candidate within its frame and strategy; only rider joins use the later fields."""
-    return F.struct(first.alias("vehicle_det_id"), F.lit(0.0).alias("wish"),
-                    F.lit(0).cast("bigint").alias("person_det_id")).alias("seq")
-
-
 def _plain(item: Column) -> Column:
     return F.struct(*(item.getField(c).alias(c) for c in "xywh"))
 
 
-def _same_box(a: Column, b: Column) -> Column:
-    return (_plain(a) == _plain(b))
-
-
-def _first_equal(items: Column, item: Column) -> Column:
-    """First box of the list with the same place and size (detectors do repeat boxes)."""
-    return F.get(F.filter(items, lambda other: _same_box(other, item)), F.lit(0))
-
-
 def candidates(dets: DataFrame, max_boxes: int = relate.MAX_BOXES) -> DataFrame:
-    """Ordered violation candidates of each frame: everything that needs no memory.
-
-    One shuffle brings a frame's boxes together; matching, vehicle test, rider assignment and helmet
-    test are array expressions on them. Oversized frames take the route of joins instead.
-    """
+    """Ordered violation candidates of each frame: everything that needs no memory."""
     wanted = dets.where(F.col("class_id").isin(g.PERSON, *g.TWO_WHEELERS, g.WITH_HELMET, g.WITHOUT_HELMET))
     usual, hot = split_hot(wanted, FRAME, max_boxes)
-    out = _by_arrays(usual)
-    return out if hot is None else out.unionByName(_by_joins(hot, max_boxes))
-
-
-def _by_arrays(dets: DataFrame) -> DataFrame:
-    c = F.col("class_id")
-    item = F.struct("det_id", "x", "y", "w", "h", "conf")
-    groups = {"persons": c == g.PERSON, "vehicles": c.isin(*g.TWO_WHEELERS),
-              "helmets": c == g.WITH_HELMET, "heads": c == g.WITHOUT_HELMET}
-    frames = dets.groupBy(*FRAME).agg(F.min("ts_sec").alias("ts_sec"), *(
-        F.sort_array(F.collect_list(F.when(cond, item))).alias(n) for n, cond in groups.items()))
-    frames = frames.withColumn("matched", relate.first_free_person(F.col("heads"), F.col("persons")))
-    frames = frames.withColumn("riders", relate.riders_in_order(F.col("persons"), F.col("vehicles")))
-
-    def direct(pair: Column, i: Column) -> Column:
-        head, person = pair.getField("left"), pair.getField("right")
-        vehicle = relate.first_vehicle(F.coalesce(person, head), F.col("vehicles"))
-        return F.struct(head.alias("head"), person.alias("person"), vehicle.getField("conf").alias("vehicle_conf"),
-                        _seq(i.cast("bigint")))
-
-    def rider(pair: Column, i: Column) -> Column:
-        person = pair.getField("left")
-        first = _first_equal(F.col("persons"), person)
-        strip = g.head_region(g.box_of(person), relate.HEAD_RATIO)
-        covered = F.exists("helmets", lambda hb: g.iou(g.box_of(hb), strip) >= F.lit(relate.MIN_TOUCH_IOU))
-        return F.struct(person.alias("person"), first.getField("det_id").alias("first_id"),
-                        first.getField("conf").alias("person_conf"),
-                        _first_equal(F.col("vehicles"), pair.getField("right")).getField("conf").alias("vehicle_conf"),
-                        covered.alias("has_helmet"), _seq(i.cast("bigint")))
-
-    taken = F.transform("matched", lambda p: p.getField("right").getField("det_id"))
-    d = frames.select(*FRAME, "ts_sec", F.explode(F.transform("matched", direct)).alias("c")).select(
-        *FRAME, "ts_sec", F.lit(True).alias("direct"), "c.seq", F.col("c.person.det_id").alias("person"),
-        _plain(F.coalesce("c.person", "c.head")).alias("box"), _plain(F.col("c.head")).alias("head_box"),
-        direct_confidence(F.col("c.person.conf"), F.col("c.vehicle_conf"), F.col("c.head.conf")).alias("confidence"),
-        direct_method(F.col("c.vehicle_conf").isNotNull()).alias("method"),
-        F.col("c.vehicle_conf").isNotNull().alias("on_vehicle"), F.lit(False).alias("has_helmet"))
-    r = frames.select(*FRAME, "ts_sec", taken.alias("taken"), F.explode(F.transform("riders", rider)).alias("c"))
-    r = r.where(~F.coalesce(F.array_contains(F.array_compact("taken"), F.col("c.first_id")), F.lit(False)))
-    return d.unionByName(_fallback(r.select(*FRAME, "ts_sec", "c.*")))
-
-
-def _fallback(riders: DataFrame) -> DataFrame:
-    person = F.col("person")
-    strip = g.head_region(g.box_of(person), relate.HEAD_RATIO)
-    return riders.select(
-        *FRAME, "ts_sec", F.lit(False).alias("direct"), "seq", F.col("first_id").alias("person"),
-        _plain(person).alias("box"),
-        F.struct(*(v.alias(n) for n, v in zip("xywh", strip))).alias("head_box"),
-        g.violation_confidence(F.col("person_conf"), F.col("vehicle_conf"), F.lit(FALLBACK_FACTOR)).alias("confidence"),
-        F.lit("fallback_no_helmet").alias("method"), F.lit(True).alias("on_vehicle"), "has_helmet")
+    out = _candidates(usual, None)
+    return out if hot is None else out.unionByName(_candidates(hot, relate.CELL))
 
 
-def _by_joins(dets: DataFrame, max_boxes: int) -> DataFrame:
-    """The same candidates without gathering a frame: joins and rounds only."""
-    c = F.col("class_id")
+def _candidates(dets: DataFrame, cell: int | None) -> DataFrame:
+    """Candidates of small frames (``cell=None``) or, keyed by grid cells and by rounds, of oversized ones."""
+    c, max_boxes = F.col("class_id"), None if cell is None else 0
     persons, vehicles = dets.where(c == g.PERSON), dets.where(c.isin(*g.TWO_WHEELERS))
     helmets, heads = dets.where(c == g.WITH_HELMET), dets.where(c == g.WITHOUT_HELMET)
-    times = dets.groupBy(*FRAME).agg(F.min("ts_sec").alias("ts_sec"))
     item = F.struct("det_id", "x", "y", "w", "h", "conf")
 
-    def named(df, name):
-        return df.select(*FRAME, F.col("det_id").alias(f"{name}_det_id"), item.alias(name))
+    def named(df: DataFrame, name: str, *more) -> DataFrame:
+        return df.select(*FRAME, F.col("det_id").alias(f"{name}_det_id"), item.alias(name), *more)
 
+    def first_equal(df: DataFrame) -> DataFrame:
+        """First box of the frame with the same place and size: detectors do repeat boxes."""
+        return df.withColumn("first", F.min(F.struct("det_id", "conf")).over(Window.partitionBy(*FRAME, *"xywh")))
+
+    # direct: bare heads with their person, and the vehicle that person (or the head itself) is on
     matched = (relate.assign_heads(heads, persons, max_boxes=max_boxes)
-               .join(named(heads, "head"), [*FRAME, "head_det_id"])
+               .join(named(heads, "head", "ts_sec"), [*FRAME, "head_det_id"])
                .join(named(persons, "person"), [*FRAME, "person_det_id"], "left"))
     standing = matched.select(*FRAME, F.coalesce("person", "head").alias("b"), "head_det_id").select(
         *FRAME, F.col("head_det_id").alias("det_id"), "b.x", "b.y", "b.w", "b.h", "b.conf")
-    mounted = relate.on_vehicle(standing, vehicles).withColumnRenamed("person_det_id", "head_det_id")
-    matched = matched.join(mounted, [*FRAME, "head_det_id"], "left")
-    d = matched.join(times, FRAME).select(
-        *FRAME, "ts_sec", F.lit(True).alias("direct"), _seq(F.col("head_det_id")),
-        F.col("person.det_id").alias("person"), _plain(F.coalesce("person", "head")).alias("box"),
-        _plain(F.col("head")).alias("head_box"),
+    mounted = relate.on_vehicle(standing, vehicles, cell=cell).withColumnRenamed("person_det_id", "head_det_id")
+    on = F.col("vehicle_conf").isNotNull()
+    direct = matched.join(mounted, [*FRAME, "head_det_id"], "left").select(
+        *FRAME, "ts_sec", F.lit(True).alias("direct"), F.col("head_det_id").alias("place"), F.lit(0.0).alias("wish"),
+        F.lit(0).cast("bigint").alias("rider"), F.col("person.det_id").alias("person"),
+        _plain(F.coalesce("person", "head")).alias("box"), _plain(F.col("head")).alias("head_box"),
         direct_confidence(F.col("person.conf"), F.col("vehicle_conf"), F.col("head.conf")).alias("confidence"),
-        direct_method(F.col("vehicle_conf").isNotNull()).alias("method"),
-        F.col("vehicle_conf").isNotNull().alias("on_vehicle"), F.lit(False).alias("has_helmet"))
-
-    def first_equal(df, name):
-        same = df.groupBy(*FRAME, "x", "y", "w", "h").agg(F.min(F.struct("det_id", "conf")).alias("f"))
-        return (df.join(same, [*FRAME, "x", "y", "w", "h"])
-                .select(*FRAME, F.col("det_id").alias(f"{name}_det_id"), F.col("f.det_id").alias(f"{name}_first"),
-                        F.col("f.conf").alias(f"{name}_conf")))
+        direct_method(on).alias("method"), on.alias("on_vehicle"), F.lit(False).alias("has_helmet"))
 
+    # fallback: riders whose person no head has claimed, with or without a helmet over their head
     bare = relate.without_helmet(persons, helmets).select(*FRAME, F.col("det_id").alias("person_det_id"),
                                                           F.lit(True).alias("bare"))
-    scores = relate.rider_candidates(persons, vehicles).select(*FRAME, "person_det_id", "vehicle_det_id", "score")
-    r = (relate.assign_riders(persons, vehicles, max_boxes=max_boxes)
-         .join(scores, [*FRAME, "person_det_id", "vehicle_det_id"])
-         .join(named(persons, "person"), [*FRAME, "person_det_id"])
-         .join(first_equal(persons, "person"), [*FRAME, "person_det_id"])
-         .join(first_equal(vehicles, "vehicle"), [*FRAME, "vehicle_det_id"])
-         .join(bare, [*FRAME, "person_det_id"], "left").join(times, FRAME))
-    used = matched.where("person IS NOT NULL").select(*FRAME, F.col("person.det_id").alias("person_first"))
-    r = r.join(used, [*FRAME, "person_first"], "left_anti")
-    return d.unionByName(_fallback(r.select(
-        *FRAME, "ts_sec", "person", F.col("person_first").alias("first_id"), "person_conf", "vehicle_conf",
-        F.col("bare").isNull().alias("has_helmet"),
-        F.struct("vehicle_det_id", (-F.col("score")).alias("wish"), "person_det_id").alias("seq"))))
+    scores = relate.rider_candidates(persons, vehicles, cell=cell).select(
+        *FRAME, "person_det_id", "vehicle_det_id", (-F.col("score")).alias("wish"))
+    twins = named(first_equal(persons), "person", "ts_sec", F.col("first.det_id").alias("first_id"),
+                  F.col("first.conf").alias("person_conf"))
+    rides = first_equal(vehicles).select(*FRAME, F.col("det_id").alias("vehicle_det_id"),
+                                         F.col("first.conf").alias("vehicle_conf"))
+    claimed = matched.where("person_det_id IS NOT NULL").select(*FRAME, F.col("person_det_id").alias("first_id"))
+    riders = (relate.assign_riders(persons, vehicles, max_boxes=max_boxes)
+              .join(scores, [*FRAME, "person_det_id", "vehicle_det_id"])
+              .join(twins, [*FRAME, "person_det_id"]).join(rides, [*FRAME, "vehicle_det_id"])
+              .join(bare, [*FRAME, "person_det_id"], "left").join(claimed, [*FRAME, "first_id"], "left_anti"))
+    strip = g.head_region(g.box_of(F.col("person")), relate.HEAD_RATIO)
+    fallback = riders.select(
+        *FRAME, "ts_sec", F.lit(False).alias("direct"), F.col("vehicle_det_id").alias("place"), "wish",
+        F.col("person_det_id").alias("rider"), F.col("first_id").alias("person"), _plain(F.col("person")).alias("box"),
+        F.struct(*(v.alias(n) for n, v in zip("xywh", strip))).alias("head_box"),
+        g.violation_confidence(F.col("person_conf"), F.col("vehicle_conf"), F.lit(FALLBACK_FACTOR)).alias("confidence"),
+        F.lit("fallback_no_helmet").alias("method"), F.lit(True).alias("on_vehicle"),
+        F.col("bare").isNull().alias("has_helmet"))
+    return direct.unionByName(fallback)
 
 
 ORDER = ["frame_number", "strategy", "place", "wish", "rider"]
@@ -172,8 +109,7 @@ def ordered_candidates(dets: DataFrame, max_boxes: int = relate.MAX_BOXES) -> Da
     found = candidates(dets, max_boxes)
     seen = F.when(F.col("direct"), F.col("head_box")).otherwise(F.col("box"))
     return found.withColumns({
-        "cx": g.box_of(seen).mid_x, "cy": g.box_of(seen).mid_y, "strategy": F.when(F.col("direct"), 1).otherwise(2),
-        "place": F.col("seq.vehicle_det_id"), "wish": F.col("seq.wish"), "rider": F.col("seq.person_det_id")}).drop("seq")
+        "cx": g.box_of(seen).mid_x, "cy": g.box_of(seen).mid_y, "strategy": F.when(F.col("direct"), 1).otherwise(2)})
 
 
 def helmet_watch(dets: DataFrame, max_boxes: int = relate.MAX_BOXES, **chunks) -> DataFrame:

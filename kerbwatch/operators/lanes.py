@@ -40,17 +40,31 @@ def line_distances(dets: DataFrame) -> DataFrame:
         "solid": is_solid(F.col("line"))}).drop("line", "lane_lines")
 
 
-def with_sides(dets: DataFrame) -> DataFrame:
-    """Add ``sides``, one letter per lane line of the box's camera (see ``rules.LaneWatch``)."""
-    px, py = g.bottom_center(g.box())
+def with_sides(dets: DataFrame, lines: Sequence[str]) -> DataFrame:
+    """Add ``sides``, one letter per lane line of the box's camera (see ``rules.LaneWatch``).
 
-    def letter(line: Column) -> Column:
-        side = g.line_side(px, py, *_ends(line))
-        near = g.segment_distance(px, py, *_ends(line)) < F.col("crossing_threshold") * 2
-        return (F.when(~is_solid(line), "-").when(side == 0, "0")
+    Needs the columns and line names of ``config.flat_lines``, which are dropped again.
+    """
+    px, py = g.bottom_center(g.box())
+    letters = []
+    for name in lines:
+        ends = tuple(F.col(f"{name}_{p}") for p in ("x1", "y1", "x2", "y2"))
+        side = g.line_side(px, py, *ends)
+        near = g.segment_distance(px, py, *ends) < F.col("crossing_threshold") * 2
+        code = (F.when(F.col(f"{name}_type") != "solid", "-").when(side == 0, "0")
                 .when(near, F.when(side < 0, "L").otherwise("R")).when(side < 0, "l").otherwise("r"))
+        letters.append(F.when(F.col(f"{name}_type").isNotNull(), code).otherwise(""))
+    flat = [f"{name}_{p}" for name in lines for p in ("x1", "y1", "x2", "y2", "type")]
+    return dets.withColumn("sides", F.concat(F.lit(""), *letters)).drop("crossing_threshold", "n_lines", *flat)
+
 
-    return dets.withColumn("sides", F.array_join(F.transform("lane_lines", letter), ""))
+def with_lane_sides(dets: DataFrame, cfg: DataFrame, edges: Sequence[str] | None = None) -> DataFrame:
+    """Boxes of cameras with lane lines (and, given ``edges``, inside the zone) with their side letters."""
+    flat, lines = config.flat_lines(cfg)
+    keep = [c for c in flat.columns if c in ("camera_id", "corners", "crossing_threshold", "n_lines")
+            or c.startswith(("edge", "line"))]
+    known = config.with_config(dets, flat.select(*keep)).where(F.col("n_lines") > 0)
+    return with_sides(known if edges is None else select.in_detection_zone(known, edges), lines)
 
 
 def _letter(i: int) -> Column:
@@ -129,10 +143,8 @@ def lane_inputs(dets: DataFrame, cfg: DataFrame, min_conf: float = MIN_CONF,
                 classes: Iterable[int] = tuple(g.ROAD_VEHICLES)) -> DataFrame:
     """Vehicles in the zone of cameras with lane lines, with side letters. ``cfg`` is already scaled."""
     vehicles = select.of_classes(dets, classes, min_conf)
-    known = config.with_config(vehicles, cfg.select("camera_id", "zone", "lane_lines", "crossing_threshold"))
-    zoned = select.in_detection_zone(known.where(F.size("lane_lines") > 0))
-    lettered = with_sides(zoned).withColumn("vehicle_type", g.class_name(F.col("class_id")))
-    return tracking.with_centroid(lettered)
+    lettered = with_lane_sides(vehicles, *config.flat_zone(cfg))
+    return tracking.with_centroid(lettered.withColumn("vehicle_type", g.class_name(F.col("class_id"))))
 
 
 def lane_violations(dets: DataFrame, cfg: DataFrame, min_conf: float = MIN_CONF,

@@ -25,12 +25,12 @@ def red_light_inputs(dets: DataFrame, cfg: DataFrame, light: DataFrame, min_conf
                      classes: Iterable[int] = tuple(g.ROAD_VEHICLES)) -> DataFrame:
     """Vehicles in the zone of configured cameras, with the light state of their frame."""
     vehicles = select.of_classes(dets, classes, min_conf)
-    known = config.with_own_config(vehicles, cfg.select("camera_id", "zone", "stop_y", "direction"))
-    zoned = select.in_detection_zone(known)
+    flat, edges = config.flat_zone(cfg.select("camera_id", "zone", "stop_y", "direction"))
+    zoned = select.in_detection_zone(config.with_own_config(vehicles, flat), edges)
     lit = zoned.join(light.select("camera_id", "frame_number", "light_state"), ["camera_id", "frame_number"], "left")
     return lit.withColumns({"past_line": past_line(lit),
                             "is_red": F.coalesce(F.col("light_state") == "RED", F.lit(False)),
-                            "vehicle_type": g.class_name(F.col("class_id"))}).drop("zone")
+                            "vehicle_type": g.class_name(F.col("class_id"))})
 
 
 def first_red_crossings(rows: DataFrame, keys=("camera_id", "track_id")) -> DataFrame:

@@ -4,9 +4,9 @@ Two forms are offered.
 
 * Joins (``heads_to_persons``, ``on_vehicle`` …): equi-joins on camera, frame and a grid cell, then the
   geometric predicate. The cell keeps a crowded frame from becoming one join key.
-* Exact ordered assignment (``assign_heads``, ``assign_riders``, ``suppress_overlaps``): the boxes of a
-  frame are gathered into arrays and folded in order inside the JVM. Frames above ``MAX_BOXES``
-  boxes are never gathered; they are settled by rounds of joins that reach the same assignment.
+* Exact ordered assignment (``assign_heads``, ``assign_riders``, ``suppress_overlaps``): the same predicates,
+  joined per frame, leave a short list of pairs per frame, and that list is walked in order. Frames above
+  ``MAX_BOXES`` boxes are never gathered; they are settled by rounds of joins that reach the same result.
 """
 
 from __future__ import annotations
@@ -49,13 +49,15 @@ def _cells(df: DataFrame, prefix: str, cell: int) -> DataFrame:
 
 
 def frame_pairs(left: DataFrame, right: DataFrame, related: Callable[[g.Box, g.Box], Column],
-                lp: str = "a_", rp: str = "b_", cell: int = CELL) -> DataFrame:
+                lp: str = "a_", rp: str = "b_", cell: int | None = CELL) -> DataFrame:
     """Pairs of one frame for which ``related`` holds; it must imply that the two boxes meet.
 
     A pair meets in several cells; it is reported in the one that holds the upper left corner of the
-    common area.
+    common area. With ``cell=None`` (frames known to be small) the frame alone is the join key.
     """
     a, b = g.box(lp), g.box(rp)
+    if cell is None:
+        return _named(left, lp).join(_named(right, rp), FRAME).where(related(a, b))
     corner = ((F.floor(F.greatest(a.x, b.x) / cell) == F.col("cell_x"))
               & (F.floor(F.greatest(a.y, b.y) / cell) == F.col("cell_y")))
     joined = _cells(_named(left, lp), lp, cell).join(_cells(_named(right, rp), rp, cell), [*FRAME, "cell_x", "cell_y"])
@@ -79,17 +81,19 @@ def heads_to_persons(heads: DataFrame, persons: DataFrame, ratio: float = 0.5) -
     return pairs.groupBy(*FRAME, "head_det_id").agg(F.min("person_det_id").alias("person_det_id"))
 
 
-def on_vehicle(persons: DataFrame, vehicles: DataFrame, min_iou: float = MIN_TOUCH_IOU) -> DataFrame:
+def on_vehicle(persons: DataFrame, vehicles: DataFrame, min_iou: float = MIN_TOUCH_IOU,
+               cell: int | None = CELL) -> DataFrame:
     """First vehicle (lowest det_id) each person or head is on, with that vehicle's confidence."""
-    pairs = frame_pairs(persons, vehicles, lambda p, v: g.touches(p, v, min_iou), "person_", "vehicle_")
+    pairs = frame_pairs(persons, vehicles, lambda p, v: g.touches(p, v, min_iou), "person_", "vehicle_", cell)
     first = F.min(F.struct("vehicle_det_id", "vehicle_conf"))
     return (pairs.groupBy(*FRAME, "person_det_id").agg(first.alias("v"))
             .select(*FRAME, "person_det_id", "v.vehicle_det_id", "v.vehicle_conf"))
 
 
-def rider_candidates(persons: DataFrame, vehicles: DataFrame, min_iou: float = MIN_TOUCH_IOU) -> DataFrame:
+def rider_candidates(persons: DataFrame, vehicles: DataFrame, min_iou: float = MIN_TOUCH_IOU,
+                     cell: int | None = CELL) -> DataFrame:
     """Scored person-vehicle pairs: overlap, plus a bonus when the feet are inside the vehicle."""
-    pairs = frame_pairs(persons, vehicles, lambda p, v: g.touches(p, v, min_iou), "person_", "vehicle_")
+    pairs = frame_pairs(persons, vehicles, lambda p, v: g.touches(p, v, min_iou), "person_", "vehicle_", cell)
     return pairs.withColumn("score", _rider_score(g.box("person_"), g.box("vehicle_")))
 
 
@@ -138,120 +142,87 @@ def _better(p: str, q: str) -> Column:
 # ---------------------------------------------------------------- exact ordered assignment
 
 
-def gathered(dets: DataFrame, groups: dict[str, Column]) -> DataFrame:
-    """Boxes of each frame as arrays in detection order, one array per named class condition."""
-    item = F.struct(*_ITEM)
-    return dets.groupBy(*FRAME).agg(*(
-        F.sort_array(F.collect_list(F.when(cond, item))).alias(name) for name, cond in groups.items()))
-
-
-_BOX_TYPE = "struct<det_id:bigint,x:int,y:int,w:int,h:int,conf:double>"
-_PAIR_TYPE = f"array<struct<left:{_BOX_TYPE},right:{_BOX_TYPE}>>"
-
-
-def _nothing(kind: str) -> Column:
-    return F.array().cast(kind)
-
-
-def _unused(items: Column, used: Column, related: Callable[[Column], Column]) -> Column:
-    return F.filter(items, lambda it: ~F.array_contains(used, it.getField("det_id")) & related(it))
-
-
-def first_free_person(heads: Column, persons: Column, ratio: float = 0.5) -> Column:
-    """Heads in order, each taking the first free person that contains it: pairs (head, person or null)."""
-
-    def take(acc: Column, head: Column) -> Column:
-        free = _unused(persons, acc.getField("used"),
-                       lambda p: g.head_in_person(g.box_of(head), g.box_of(p), ratio))
-        pick = F.get(free, F.lit(0))
-        used = F.when(pick.isNull(), acc.getField("used")).otherwise(
-            F.array_append(acc.getField("used"), pick.getField("det_id")))
-        pair = F.struct(head.alias("left"), pick.alias("right"))
-        return F.struct(used.alias("used"), F.array_append(acc.getField("pairs"), pair).alias("pairs"))
-
-    start = F.struct(_nothing("array<bigint>").alias("used"), _nothing(_PAIR_TYPE).alias("pairs"))
-    return F.aggregate(heads, start, take, lambda acc: acc.getField("pairs"))
-
-
-def riders_in_order(persons: Column, vehicles: Column, limit: int = MAX_RIDERS,
-                    min_iou: float = MIN_TOUCH_IOU) -> Column:
-    """Vehicles in order, each taking its best free persons: pairs (person, vehicle)."""
-
-    def take(acc: Column, vehicle: Column) -> Column:
-        v = g.box_of(vehicle)
-        free = _unused(persons, acc.getField("used"), lambda p: g.touches(g.box_of(p), v, min_iou))
-        ranked = F.sort_array(F.transform(free, lambda p: F.struct(
-            (-_rider_score(g.box_of(p), v)).alias("order"), p.getField("det_id").alias("det_id"), p.alias("p"))))
-        best = F.slice(ranked, 1, limit)
-        used = F.concat(acc.getField("used"), F.transform(best, lambda r: r.getField("det_id")))
-        new = F.transform(best, lambda r: F.struct(r.getField("p").alias("left"), vehicle.alias("right")))
-        return F.struct(used.alias("used"), F.concat(acc.getField("pairs"), new).alias("pairs"))
-
-    start = F.struct(_nothing("array<bigint>").alias("used"), _nothing(_PAIR_TYPE).alias("pairs"))
-    return F.aggregate(vehicles, start, take, lambda acc: acc.getField("pairs"))
-
-
-def first_vehicle(person: Column, vehicles: Column, min_iou: float = MIN_TOUCH_IOU) -> Column:
-    return F.get(F.filter(vehicles, lambda v: g.touches(g.box_of(person), g.box_of(v), min_iou)), F.lit(0))
-
-
-def survivors(boxes: Column, overlap: float = NMS_OVERLAP) -> Column:
-    """Greedy suppression over one frame's boxes: best score first, overlapping ones dropped."""
-    ranked = F.sort_array(F.transform(boxes, lambda b: F.struct(
-        (-b.getField("conf")).alias("order"), b.getField("det_id").alias("det_id"), b.alias("b"))))
-
-    def keep(acc: Column, r: Column) -> Column:
-        b = r.getField("b")
-        hit = F.exists(acc, lambda k: g.iou(g.box_of(k), g.box_of(b)) > F.lit(overlap))
-        return F.when(hit, acc).otherwise(F.array_append(acc, b))
-
-    return F.aggregate(ranked, _nothing(f"array<{_BOX_TYPE}>"), keep)
+def _first_come(pairs: DataFrame, capacity: int) -> DataFrame:
+    """Takers in ascending order each take their ``capacity`` most wished free items (small frames).
 
+    ``pairs`` has taker, wish, taken. One frame's pairs are walked once in that order; the geometry is
+    already decided, so a step only compares numbers.
+    """
+    kind = "array<struct<taker:bigint,taken:bigint>>"
+    ordered = pairs.groupBy(*FRAME).agg(F.sort_array(F.collect_list(F.struct("taker", "wish", "taken"))).alias("p"))
+
+    def take(acc: Column, r: Column) -> Column:
+        n = F.when(acc.getField("taker") == r.getField("taker"), acc.getField("n")).otherwise(F.lit(0))
+        free = (n < capacity) & ~F.array_contains(acc.getField("used"), r.getField("taken"))
+        pair = F.struct(r.getField("taker").alias("taker"), r.getField("taken").alias("taken"))
+        return F.when(free, F.struct(
+            r.getField("taker").alias("taker"), (n + 1).alias("n"),
+            F.array_append(acc.getField("used"), r.getField("taken")).alias("used"),
+            F.array_append(acc.getField("held"), pair).alias("held"),
+        )).otherwise(F.struct(r.getField("taker").alias("taker"), n.alias("n"), acc.getField("used").alias("used"),
+                              acc.getField("held").alias("held")))
+
+    start = F.struct(F.lit(-1).cast("bigint").alias("taker"), F.lit(0).alias("n"),
+                     F.array().cast("array<bigint>").alias("used"), F.array().cast(kind).alias("held"))
+    return ordered.select(*FRAME, F.inline(F.aggregate("p", start, take, lambda acc: acc.getField("held"))))
+
+
+def _assigned(pairs_of: Callable[[DataFrame, int | None], DataFrame], boxes: DataFrame, capacity: int,
+              max_boxes: int | None) -> DataFrame:
+    """Taker-taken rows for all frames; ``max_boxes=None`` says that no frame is oversized."""
+    usual, hot = (boxes, None) if max_boxes is None else split_hot(boxes, FRAME, max_boxes)
+    held = _first_come(pairs_of(usual, None), capacity)
+    return held if hot is None else held.unionByName(settle(pairs_of(hot, CELL), capacity))
+
+
+def assign_heads(heads: DataFrame, persons: DataFrame, ratio: float = 0.5,
+                 max_boxes: int | None = MAX_BOXES) -> DataFrame:
+    """Exact one-to-one assignment: heads in order, each taking the first free person that contains it.
+
+    Every head is returned, with its person or null.
+    """
+    def pairs_of(boxes: DataFrame, cell: int | None) -> DataFrame:
+        found = frame_pairs(boxes.where("_head"), boxes.where("NOT _head"),
+                            lambda h, p: g.head_in_person(h, p, ratio), "head_", "person_", cell)
+        return found.select(*FRAME, F.col("head_det_id").alias("taker"), F.lit(0.0).alias("wish"),
+                            F.col("person_det_id").alias("taken"))
 
-def assign_heads(heads: DataFrame, persons: DataFrame, ratio: float = 0.5, max_boxes: int = MAX_BOXES) -> DataFrame:
-    """Exact one-to-one head assignment: every head with its person, or null."""
     both = heads.withColumn("_head", F.lit(True)).unionByName(persons.withColumn("_head", F.lit(False)))
-    usual, big = split_hot(both, FRAME, max_boxes)
-    frames = gathered(usual, {"heads": F.col("_head"), "persons": ~F.col("_head")})
-    out = (frames.select(*FRAME, F.explode(first_free_person(F.col("heads"), F.col("persons"), ratio)).alias("p"))
-           .select(*FRAME, F.col("p.left.det_id").alias("head_det_id"), F.col("p.right.det_id").alias("person_det_id")))
-    if big is None:
-        return out
-    big_heads, big_persons = big.where("_head").drop("_head"), big.where("NOT _head").drop("_head")
-    pairs = frame_pairs(big_heads, big_persons, lambda h, p: g.head_in_person(h, p, ratio), "head_", "person_")
-    held = settle(pairs.select(*FRAME, F.col("head_det_id").alias("taker"), F.col("person_det_id").alias("taken"),
-                               F.lit(0.0).alias("wish")), 1)
-    held = held.select(*FRAME, F.col("taker").alias("head_det_id"), F.col("taken").alias("person_det_id"))
-    rest = big_heads.select(*FRAME, F.col("det_id").alias("head_det_id")).join(held, [*FRAME, "head_det_id"], "left")
-    return out.unionByName(rest)
+    held = _assigned(pairs_of, both, 1, max_boxes).select(
+        *FRAME, F.col("taker").alias("head_det_id"), F.col("taken").alias("person_det_id"))
+    return heads.select(*FRAME, F.col("det_id").alias("head_det_id")).join(held, [*FRAME, "head_det_id"], "left")
 
 
 def assign_riders(persons: DataFrame, vehicles: DataFrame, limit: int = MAX_RIDERS,
-                  max_boxes: int = MAX_BOXES) -> DataFrame:
-    """Exact rider assignment: each person on at most one vehicle, at most ``limit`` per vehicle."""
+                  max_boxes: int | None = MAX_BOXES) -> DataFrame:
+    """Exact rider assignment: vehicles in order, each taking its ``limit`` best free persons."""
+    def pairs_of(boxes: DataFrame, cell: int | None) -> DataFrame:
+        found = rider_candidates(boxes.where("_person"), boxes.where("NOT _person"), cell=cell)
+        return found.select(*FRAME, F.col("vehicle_det_id").alias("taker"), (-F.col("score")).alias("wish"),
+                            F.col("person_det_id").alias("taken"))
+
     both = persons.withColumn("_person", F.lit(True)).unionByName(vehicles.withColumn("_person", F.lit(False)))
-    usual, big = split_hot(both, FRAME, max_boxes)
-    frames = gathered(usual, {"persons": F.col("_person"), "vehicles": ~F.col("_person")})
-    out = (frames.select(*FRAME, F.explode(riders_in_order(F.col("persons"), F.col("vehicles"), limit)).alias("p"))
-           .select(*FRAME, F.col("p.left.det_id").alias("person_det_id"),
-                   F.col("p.right.det_id").alias("vehicle_det_id")))
-    if big is None:
-        return out
-    pairs = rider_candidates(big.where("_person").drop("_person"), big.where("NOT _person").drop("_person"))
-    held = settle(pairs.select(*FRAME, F.col("vehicle_det_id").alias("taker"), F.col("person_det_id").alias("taken"),
-                               (-F.col("score")).alias("wish")), limit)
-    return out.unionByName(held.select(*FRAME, F.col("taken").alias("person_det_id"),
-                                       F.col("taker").alias("vehicle_det_id")))
+    return _assigned(pairs_of, both, limit, max_boxes).select(
+        *FRAME, F.col("taken").alias("person_det_id"), F.col("taker").alias("vehicle_det_id"))
 
 
 def suppress_overlaps(dets: DataFrame, min_conf: float = NMS_SCORE, overlap: float = NMS_OVERLAP,
-                      max_boxes: int = MAX_BOXES) -> DataFrame:
-    """Exact non-maximum suppression per frame."""
+                      max_boxes: int | None = MAX_BOXES) -> DataFrame:
+    """Exact non-maximum suppression per frame: best score first, boxes overlapping a kept one go."""
     strong = dets.where(F.col("conf") > min_conf).select(*FRAME, *_ITEM)
-    usual, big = split_hot(strong, FRAME, max_boxes)
-    frames = gathered(usual, {"boxes": F.lit(True)})
-    out = frames.select(*FRAME, F.explode(survivors(F.col("boxes"), overlap)).alias("b")).select(*FRAME, "b.*")
-    return out if big is None else out.unionByName(_suppress_by_rounds(big, overlap))
+    usual, hot = (strong, None) if max_boxes is None else split_hot(strong, FRAME, max_boxes)
+    pairs = frame_pairs(usual, usual, lambda a, b: _better("a_", "b_") & (g.iou(a, b) > F.lit(overlap)), cell=None)
+    edge = F.struct((-F.col("a_conf")).alias("order"), F.col("a_det_id").alias("winner"), F.col("b_det_id").alias("loser"))
+    ordered = pairs.groupBy(*FRAME).agg(F.sort_array(F.collect_list(edge)).alias("p"))
+
+    def drop(gone: Column, r: Column) -> Column:
+        # all edges that could remove this winner come earlier, so its fate is settled here
+        idle = F.array_contains(gone, r.getField("winner")) | F.array_contains(gone, r.getField("loser"))
+        return F.when(idle, gone).otherwise(F.array_append(gone, r.getField("loser")))
+
+    gone = ordered.select(*FRAME, F.explode(F.aggregate("p", F.array().cast("array<bigint>"), drop)).alias("det_id"))
+    out = usual.join(gone, [*FRAME, "det_id"], "left_anti")
+    return out if hot is None else out.unionByName(_suppress_by_rounds(hot, overlap))
 
 
 # ---------------------------------------------------------------- rounds for oversized frames

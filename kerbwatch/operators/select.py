@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +16,11 @@ def of_classes(dets: DataFrame, classes: Iterable[int], min_conf: float | None =
     return out if min_conf is None else out.where(F.col("conf") >= F.lit(float(min_conf)))
 
 
-def in_detection_zone(dets: DataFrame) -> DataFrame:
-    """Box centre inside the camera's zone (needs the configuration columns)."""
-    return dets.where(g.in_zone(*g.centroid(g.box()), F.col("zone")))
+def in_detection_zone(dets: DataFrame, edges: Sequence[str]) -> DataFrame:
+    """Box centre inside the camera's zone (needs the columns and edge names of ``config.flat_zone``)."""
+    ends = [tuple(F.col(f"{e}_{p}") for p in ("x1", "y1", "x2", "y2")) for e in edges]
+    inside = dets.where(g.in_flat_zone(*g.centroid(g.box()), ends, F.col("corners")))
+    return inside.drop("corners", *(f"{e}_{p}" for e in edges for p in ("x1", "y1", "x2", "y2")))
 
 
 def every_nth(frames: DataFrame, source_fps: float, target_fps: float) -> DataFrame:

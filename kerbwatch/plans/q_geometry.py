@@ -244,8 +244,9 @@ def _(spark, sf):
 
 @query("c03_zone_filter", sql_with("zoned", "SELECT camera_id, frame_number, det_id FROM zoned WHERE class_id IN (2, 3, 5)"))
 def _(spark, sf):
-    boxes = config.with_config(select.of_classes(_boxes(spark, sf), (2, 3, 5)), _scaled(spark).select("camera_id", "zone"))
-    return select.in_detection_zone(boxes).select(*ID)
+    cfg, edges = config.flat_zone(_scaled(spark).select("camera_id", "zone"))
+    boxes = config.with_config(select.of_classes(_boxes(spark, sf), (2, 3, 5)), cfg)
+    return select.in_detection_zone(boxes, edges).select(*ID)
 
 
 @query("c05_camera_gates", sql_with("viol cfg lines", """

@@ -177,9 +177,8 @@ def _(spark, sf):
 
 def _lane_rows(spark, sf):
     """Clamped boxes with side letters; the known object number is the track."""
-    cfg = _scaled(spark).select("camera_id", "lane_lines", "crossing_threshold")
-    boxes = config.with_config(_boxes(spark, sf).withColumn("track_id", F.col("det_id")), cfg)
-    return lanes.with_sides(boxes.where(F.size("lane_lines") > 0))
+    boxes = _boxes(spark, sf).withColumn("track_id", F.col("det_id"))
+    return lanes.with_lane_sides(boxes, _scaled(spark))
 
 
 _CROSSED = """

@@ -148,6 +148,30 @@ def most_lines(cfg: DataFrame) -> int:
     return cfg.agg(F.coalesce(F.max(F.size("lane_lines")), F.lit(0))).first()[0]
 
 
+def flat_zone(cfg: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Zone edges as columns ``<edge>_x1 … <edge>_y2`` plus ``corners``; returns the edge names too.
+
+    Done on the configuration side of the join, so that rows meet plain attributes instead of arrays.
+    """
+    n = cfg.agg(F.coalesce(F.max(F.size("zone")), F.lit(0))).first()[0]
+    names, columns = [f"edge{i}" for i in range(n)], {"corners": F.size("zone")}
+    for i, name in enumerate(names):
+        nxt = F.when(F.lit(i + 1) >= F.size("zone"), F.lit(0)).otherwise(F.lit(i + 1))
+        for k, at in ((1, F.lit(i)), (2, nxt)):
+            point = F.when(F.lit(i) < F.size("zone"), F.get("zone", at))
+            columns[f"{name}_x{k}"], columns[f"{name}_y{k}"] = F.get(point, F.lit(0)), F.get(point, F.lit(1))
+    return cfg.withColumns(columns).drop("zone"), names
+
+
+def flat_lines(cfg: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Lane lines as columns ``<line>_x1 … <line>_y2, <line>_type`` plus ``n_lines``."""
+    names, columns = [f"line{i}" for i in range(most_lines(cfg))], {"n_lines": F.size("lane_lines")}
+    for i, name in enumerate(names):
+        for part in ("x1", "y1", "x2", "y2", "type"):
+            columns[f"{name}_{part}"] = F.get("lane_lines", F.lit(i)).getField(part)
+    return cfg.withColumns(columns).drop("lane_lines"), names
+
+
 def put_camera(cfg: DataFrame, rows: DataFrame) -> DataFrame:
     """Replace or add whole camera entries."""
     kept = cfg.join(rows.select("camera_id"), "camera_id", "left_anti")

@@ -135,7 +135,7 @@ def test_crossings_on_tracks(spark, hot_rows):
     for r in sorted(rows, key=lambda r: r[3]):
         last[(r[0], r[1], r[3] % 4)] = r
     df = spark.createDataFrame(list(last.values()), COLUMNS).withColumn("track_id", F.col("det_id") % 4)
-    lettered = lanes.with_sides(config.with_config(df, lane_config(spark).select("camera_id", "lane_lines", "crossing_threshold")))
+    lettered = lanes.with_lane_sides(df, lane_config(spark))
     got = lanes.checked_crossings(lettered, len(LINES), hot_rows=hot_rows, chunk_seconds=12.0).collect()
     assert want and {(r.camera_id, r.frame_number, r.track_id, r.line_id) for r in got} == want
 
