@@ -158,14 +158,12 @@ def in_zone(px: Column, py: Column, zone: Column) -> Column:
     return F.when(F.coalesce(F.size(zone), F.lit(0)) < 3, F.lit(True)).otherwise(crossings % 2 == 1)
 
 
-def in_flat_zone(px: Column, py: Column, edges: list[tuple[Column, Column, Column, Column]], corners: Column) -> Column:
-    """The same test over edges given as plain columns (null where a zone has fewer edges).
-
-    Every edge is ordinary arithmetic on attributes, so the test stays inside generated code.
-    """
+def in_flat_zone(px: Column, py: Column, edges: list[tuple[Column, ...]], corners: Column) -> Column:
+    """The same test over the edge columns of ``config.flat_zone`` (null where a zone has fewer edges)."""
     crossings = F.lit(0)
-    for ends in edges:
-        crossings = crossings + F.when(_edge_toggles(px, py, *ends), 1).otherwise(0)
+    for x1, y1, dx, dy, low, high, reach in edges:
+        hit = (py > low) & (py <= high) & (px <= reach) & ((dx == 0) | (px <= (py - y1) * dx / F.nullif(dy, F.lit(0.0)) + x1))
+        crossings = crossings + F.when(hit, 1).otherwise(0)
     return F.when(F.coalesce(corners, F.lit(0)) < 3, F.lit(True)).otherwise(crossings % 2 == 1)
 
 

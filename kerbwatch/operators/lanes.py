@@ -46,16 +46,43 @@ def with_sides(dets: DataFrame, lines: Sequence[str]) -> DataFrame:
     Needs the columns and line names of ``config.flat_lines``, which are dropped again.
     """
     px, py = g.bottom_center(g.box())
-    letters = []
-    for name in lines:
-        ends = tuple(F.col(f"{name}_{p}") for p in ("x1", "y1", "x2", "y2"))
-        side = g.line_side(px, py, *ends)
-        near = g.segment_distance(px, py, *ends) < F.col("crossing_threshold") * 2
-        code = (F.when(F.col(f"{name}_type") != "solid", "-").when(side == 0, "0")
-                .when(near, F.when(side < 0, "L").otherwise("R")).when(side < 0, "l").otherwise("r"))
-        letters.append(F.when(F.col(f"{name}_type").isNotNull(), code).otherwise(""))
-    flat = [f"{name}_{p}" for name in lines for p in ("x1", "y1", "x2", "y2", "type")]
-    return dets.withColumn("sides", F.concat(F.lit(""), *letters)).drop("crossing_threshold", "n_lines", *flat)
+    flat = [f"{name}_{p}" for name in lines for p in config.LINE_PARTS]
+    scratch: list[str] = []
+
+    def stage(df: DataFrame, make) -> DataFrame:
+        # one projection per step: inlined into each other the steps become a method too large to compile
+        columns = {f"_{name}_{part}": c for name in lines for part, c in make(name).items()}
+        scratch.extend(columns)
+        return df.withColumns(columns)
+
+    def at(name: str, part: str) -> Column:
+        return F.col(f"{name}_{part}")
+
+    def relative(name: str) -> dict[str, Column]:
+        return {"rx": F.col("_px") - at(name, "x1"), "ry": F.col("_py") - at(name, "y1")}
+
+    def along(name: str) -> dict[str, Column]:
+        rx, ry, dx, dy = at(f"_{name}", "rx"), at(f"_{name}", "ry"), at(name, "dx"), at(name, "dy")
+        t = (rx * dx + ry * dy) / F.nullif(at(name, "len2"), F.lit(0.0))
+        return {"cross": dx * ry - dy * rx, "t": F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), t)), F.lit(0.0))}
+
+    def away(name: str) -> dict[str, Column]:
+        t = at(f"_{name}", "t")
+        return {"ox": F.col("_px") - (at(name, "x1") + t * at(name, "dx")),
+                "oy": F.col("_py") - (at(name, "y1") + t * at(name, "dy"))}
+
+    def letter(name: str) -> dict[str, Column]:
+        cross, ox, oy = (at(f"_{name}", p) for p in ("cross", "ox", "oy"))
+        near = F.sqrt(ox * ox + oy * oy) < F.col("crossing_threshold") * 2
+        side = (F.when(F.abs(cross) < 1e-6, "0").when(near, F.when(cross < 0, "L").otherwise("R"))
+                .when(cross < 0, "l").otherwise("r"))
+        return {"letter": F.when(at(name, "type") == "solid", side).when(at(name, "type").isNotNull(), "-").otherwise("")}
+
+    out = dets.withColumns({"_px": px, "_py": py.cast("double")})
+    for step in (relative, along, away, letter):
+        out = stage(out, step)
+    out = out.withColumn("sides", F.concat(F.lit(""), *(F.col(f"_{name}_letter") for name in lines)))
+    return out.drop("crossing_threshold", "n_lines", "_px", "_py", *flat, *scratch)
 
 
 def with_lane_sides(dets: DataFrame, cfg: DataFrame, edges: Sequence[str] | None = None) -> DataFrame:

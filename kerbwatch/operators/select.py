@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbwatch.functions import geometry as g
+from kerbwatch.sources import config
 
 
 def of_classes(dets: DataFrame, classes: Iterable[int], min_conf: float | None = None) -> DataFrame:
@@ -18,9 +19,9 @@ def of_classes(dets: DataFrame, classes: Iterable[int], min_conf: float | None =
 
 def in_detection_zone(dets: DataFrame, edges: Sequence[str]) -> DataFrame:
     """Box centre inside the camera's zone (needs the columns and edge names of ``config.flat_zone``)."""
-    ends = [tuple(F.col(f"{e}_{p}") for p in ("x1", "y1", "x2", "y2")) for e in edges]
-    inside = dets.where(g.in_flat_zone(*g.centroid(g.box()), ends, F.col("corners")))
-    return inside.drop("corners", *(f"{e}_{p}" for e in edges for p in ("x1", "y1", "x2", "y2")))
+    parts = [[f"{e}_{p}" for p in config.EDGE_PARTS] for e in edges]
+    inside = g.in_flat_zone(*g.centroid(g.box()), [tuple(map(F.col, p)) for p in parts], F.col("corners"))
+    return dets.where(inside).drop("corners", *(c for p in parts for c in p))
 
 
 def every_nth(frames: DataFrame, source_fps: float, target_fps: float) -> DataFrame:

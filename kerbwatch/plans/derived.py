@@ -5,10 +5,13 @@ The same arithmetic is stated once more in SQL in ``oracle.py``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbwatch.functions import geometry as g
+from kerbwatch.session import materialise
 from kerbwatch.sources import config
 
 FRAME_W, FRAME_H = 1920, 1080
@@ -41,13 +44,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table, written once per session and input, then read like any stored table.
+
+    The rules expect detections as stored columns. Left as expressions, the derivation would be repeated
+    in every predicate that mentions a coordinate, and the one input file would be one task.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = materialise(make(), name)
+    return _STORED[key]
+
+
 def camera_config(spark: SparkSession) -> DataFrame:
-    return config.config_from_text(spark, CAMERA_CONFIG)
+    return stored(spark, "", "camera-config", lambda: config.config_from_text(spark, CAMERA_CONFIG).coalesce(1))
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = spark.sparkContext.defaultParallelism
+    return stored(spark, sf_dir, "detections", lambda: derive_detections(spark, sf_dir, parts))
+
+
+def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections cut to the frame."""
+    return stored(spark, sf_dir, "boxes", lambda: clamped(detections(spark, sf_dir)))
+
+
+def derive_detections(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
     """Eight frames for each scene of thirty moving objects, over three cameras."""
-    e = table(spark, sf_dir, "events").select("event_id", "user_id")
+    e = table(spark, sf_dir, "events").select("event_id", "user_id").repartition(parts, "event_id")
     e = e.select(
         "event_id", "user_id",
         F.expr("event_id div 3").alias("g"), (F.col("event_id") % 3).alias("role"),

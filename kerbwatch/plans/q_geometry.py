@@ -20,7 +20,7 @@ def _scaled(spark):
 
 
 def _boxes(spark, sf):
-    return d.clamped(d.detections(spark, sf))
+    return d.boxes(spark, sf)
 
 
 # ---------------------------------------------------------------- boxes
@@ -28,7 +28,7 @@ def _boxes(spark, sf):
 
 @query("b01_clamp_box", sql_with("cl", "SELECT camera_id, frame_number, det_id, x, y, w, h FROM cl"))
 def _(spark, sf):
-    return _boxes(spark, sf).select(*ID, "x", "y", "w", "h")
+    return d.clamped(d.detections(spark, sf)).select(*ID, "x", "y", "w", "h")
 
 
 @query("b02_box_corners", sql_with("cl", """

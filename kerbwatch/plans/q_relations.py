@@ -17,7 +17,7 @@ VEHICLES = (2, 3, 5)
 
 
 def _boxes(spark, sf):
-    return d.clamped(d.detections(spark, sf))
+    return d.boxes(spark, sf)
 
 
 def _scaled(spark):

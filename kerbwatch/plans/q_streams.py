@@ -125,14 +125,14 @@ def _(spark, sf):
 
 @query("i01_tracks_stream")
 def _(spark, sf):
-    rows = tracking.with_centroid(d.clamped(d.detections(spark, sf)).where("class_id IN (2, 3, 5)"))
+    rows = tracking.with_centroid(d.boxes(spark, sf).where("class_id IN (2, 3, 5)"))
     out = jobs.rule_stream(_as_stream(rows, "vehicles"), rules.Tracker(), ["camera_id"], tracking.ORDER, ["frame_number", "det_id"])
     return _drained(out, "tracks").drop("is_late")
 
 
 @query("i04_repeats_stream")
 def _(spark, sf):
-    heads = tracking.with_centroid(d.clamped(d.detections(spark, sf)).where("class_id = 7")).withColumn("track_id", F.col("det_id"))
+    heads = tracking.with_centroid(d.boxes(spark, sf).where("class_id = 7")).withColumn("track_id", F.col("det_id"))
     out = jobs.rule_stream(_as_stream(heads, "heads"), rules.Repeats(), ["camera_id"], ["ts_sec", "det_id"], ["ts_sec", "det_id"])
     return _drained(out, "repeats").select("camera_id", "ts_sec", "det_id")
 
@@ -142,7 +142,7 @@ SELECT c.camera_id, count(*) AS n, CAST(sum(frame_number) AS BIGINT) AS frames
 FROM cl c JOIN light l USING (camera_id, frame_number) JOIN cfgs ON cfgs.camera_id = c.camera_id
 WHERE class_id IN (2, 3, 5) AND light_state = 'RED' AND y + h / 2.0e0 > stop_y GROUP BY 1"""))
 def _(spark, sf):
-    boxes = d.clamped(d.detections(spark, sf)).where("class_id IN (2, 3, 5)")
+    boxes = d.boxes(spark, sf).where("class_id IN (2, 3, 5)")
     item = F.struct(F.col("class_id").alias("class_id"), g.class_name(F.col("class_id")).alias("class_name"),
                     F.col("conf").cast("float").alias("confidence"), F.array(*g.centroid(g.box())).alias("center"),
                     F.lit("UNKNOWN").alias("state"))
@@ -159,7 +159,7 @@ def _(spark, sf):
 
 @query("i05_helmet_stream")
 def _(spark, sf):
-    found = helmet.ordered_candidates(d.clamped(d.detections(spark, sf)))
+    found = helmet.ordered_candidates(d.boxes(spark, sf))
     out = jobs.rule_stream(_as_stream(found, "candidates"), rules.HelmetWatch(), ["camera_id"], helmet.ORDER,
                            ["frame_number", "ts_sec", "method"])
     return _drained(out, "helmet").where("violation").select("camera_id", "frame_number", "ts_sec", "track_id", "method")

@@ -148,27 +148,37 @@ def most_lines(cfg: DataFrame) -> int:
     return cfg.agg(F.coalesce(F.max(F.size("lane_lines")), F.lit(0))).first()[0]
 
 
+EDGE_PARTS = ("x1", "y1", "dx", "dy", "low", "high", "reach")
+LINE_PARTS = ("x1", "y1", "dx", "dy", "len2", "type")
+
+
 def flat_zone(cfg: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Zone edges as columns ``<edge>_x1 … <edge>_y2`` plus ``corners``; returns the edge names too.
+    """Zone edges as columns (start, extent, height range, right end) plus ``corners``; and the edge names.
 
-    Done on the configuration side of the join, so that rows meet plain attributes instead of arrays.
+    Done on the configuration side of the join: rows meet a few plain attributes instead of arrays, which
+    keeps the generated code of the test small enough to be compiled.
     """
     n = cfg.agg(F.coalesce(F.max(F.size("zone")), F.lit(0))).first()[0]
     names, columns = [f"edge{i}" for i in range(n)], {"corners": F.size("zone")}
     for i, name in enumerate(names):
         nxt = F.when(F.lit(i + 1) >= F.size("zone"), F.lit(0)).otherwise(F.lit(i + 1))
-        for k, at in ((1, F.lit(i)), (2, nxt)):
-            point = F.when(F.lit(i) < F.size("zone"), F.get("zone", at))
-            columns[f"{name}_x{k}"], columns[f"{name}_y{k}"] = F.get(point, F.lit(0)), F.get(point, F.lit(1))
+        ends = [F.get(F.when(F.lit(i) < F.size("zone"), F.get("zone", at)), F.lit(axis)).cast("double")
+                for at in (F.lit(i), nxt) for axis in (0, 1)]
+        x1, y1, x2, y2 = ends
+        parts = (x1, y1, x2 - x1, y2 - y1, F.least(y1, y2), F.greatest(y1, y2), F.greatest(x1, x2))
+        columns.update({f"{name}_{p}": c for p, c in zip(EDGE_PARTS, parts)})
     return cfg.withColumns(columns).drop("zone"), names
 
 
 def flat_lines(cfg: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Lane lines as columns ``<line>_x1 … <line>_y2, <line>_type`` plus ``n_lines``."""
+    """Lane lines as columns (start, extent, squared length, type) plus ``n_lines``; and the line names."""
     names, columns = [f"line{i}" for i in range(most_lines(cfg))], {"n_lines": F.size("lane_lines")}
     for i, name in enumerate(names):
-        for part in ("x1", "y1", "x2", "y2", "type"):
-            columns[f"{name}_{part}"] = F.get("lane_lines", F.lit(i)).getField(part)
+        line = F.get("lane_lines", F.lit(i))
+        x1, y1, x2, y2 = (line.getField(p).cast("double") for p in ("x1", "y1", "x2", "y2"))
+        dx, dy = x2 - x1, y2 - y1
+        parts = (x1, y1, dx, dy, dx * dx + dy * dy, line.getField("type"))
+        columns.update({f"{name}_{p}": c for p, c in zip(LINE_PARTS, parts)})
     return cfg.withColumns(columns).drop("lane_lines"), names
 
 
