@@ -52,19 +52,16 @@ def _candidates(dets: DataFrame, cell: int | None) -> DataFrame:
     c, max_boxes = F.col("class_id"), None if cell is None else 0
     persons, vehicles = dets.where(c == g.PERSON), dets.where(c.isin(*g.TWO_WHEELERS))
     helmets, heads = dets.where(c == g.WITH_HELMET), dets.where(c == g.WITHOUT_HELMET)
-    item = F.struct("det_id", "x", "y", "w", "h", "conf")
 
-    def named(df: DataFrame, name: str, *more) -> DataFrame:
-        return df.select(*FRAME, F.col("det_id").alias(f"{name}_det_id"), item.alias(name), *more)
-
-    def first_equal(df: DataFrame) -> DataFrame:
-        """First box of the frame with the same place and size: detectors do repeat boxes."""
-        return df.withColumn("first", F.min(F.struct("det_id", "conf")).over(Window.partitionBy(*FRAME, *"xywh")))
+    def with_twin(df: DataFrame) -> DataFrame:
+        """Add the first box of the frame with the same place and size: detectors do repeat boxes."""
+        first = F.min(F.struct("det_id", "conf")).over(Window.partitionBy(*FRAME, *"xywh"))
+        return df.withColumn("twin", first)
 
     # direct: bare heads with their person, and the vehicle that person (or the head itself) is on
-    matched = (relate.assign_heads(heads, persons, max_boxes=max_boxes)
-               .join(named(heads, "head", "ts_sec"), [*FRAME, "head_det_id"])
-               .join(named(persons, "person"), [*FRAME, "person_det_id"], "left"))
+    head = F.struct("det_id", "x", "y", "w", "h", "conf").alias("head")
+    matched = relate.assign_heads(heads, persons, max_boxes=max_boxes).join(
+        heads.select(*FRAME, F.col("det_id").alias("head_det_id"), "ts_sec", head), [*FRAME, "head_det_id"])
     standing = matched.select(*FRAME, F.coalesce("person", "head").alias("b"), "head_det_id").select(
         *FRAME, F.col("head_det_id").alias("det_id"), "b.x", "b.y", "b.w", "b.h", "b.conf")
     mounted = relate.on_vehicle(standing, vehicles, cell=cell).withColumnRenamed("person_det_id", "head_det_id")
@@ -79,23 +76,16 @@ def _candidates(dets: DataFrame, cell: int | None) -> DataFrame:
     # fallback: riders whose person no head has claimed, with or without a helmet over their head
     bare = relate.without_helmet(persons, helmets).select(*FRAME, F.col("det_id").alias("person_det_id"),
                                                           F.lit(True).alias("bare"))
-    scores = relate.rider_candidates(persons, vehicles, cell=cell).select(
-        *FRAME, "person_det_id", "vehicle_det_id", (-F.col("score")).alias("wish"))
-    twins = named(first_equal(persons), "person", "ts_sec", F.col("first.det_id").alias("first_id"),
-                  F.col("first.conf").alias("person_conf"))
-    rides = first_equal(vehicles).select(*FRAME, F.col("det_id").alias("vehicle_det_id"),
-                                         F.col("first.conf").alias("vehicle_conf"))
     claimed = matched.where("person_det_id IS NOT NULL").select(*FRAME, F.col("person_det_id").alias("first_id"))
-    riders = (relate.assign_riders(persons, vehicles, max_boxes=max_boxes)
-              .join(scores, [*FRAME, "person_det_id", "vehicle_det_id"])
-              .join(twins, [*FRAME, "person_det_id"]).join(rides, [*FRAME, "vehicle_det_id"])
-              .join(bare, [*FRAME, "person_det_id"], "left").join(claimed, [*FRAME, "first_id"], "left_anti"))
+    riders = (relate.assign_riders(with_twin(persons), with_twin(vehicles), max_boxes=max_boxes, extra=["twin", "ts_sec"])
+              .withColumn("first_id", F.col("person_twin.det_id"))
+              .join(claimed, [*FRAME, "first_id"], "left_anti").join(bare, [*FRAME, "person_det_id"], "left"))
     strip = g.head_region(g.box_of(F.col("person")), relate.HEAD_RATIO)
     fallback = riders.select(
-        *FRAME, "ts_sec", F.lit(False).alias("direct"), F.col("vehicle_det_id").alias("place"), "wish",
-        F.col("person_det_id").alias("rider"), F.col("first_id").alias("person"), _plain(F.col("person")).alias("box"),
-        F.struct(*(v.alias(n) for n, v in zip("xywh", strip))).alias("head_box"),
-        g.violation_confidence(F.col("person_conf"), F.col("vehicle_conf"), F.lit(FALLBACK_FACTOR)).alias("confidence"),
+        *FRAME, F.col("person_ts_sec").alias("ts_sec"), F.lit(False).alias("direct"), F.col("vehicle_det_id").alias("place"), "wish",
+        F.col("person_det_id").alias("rider"), F.col("first_id").alias("person"),
+        _plain(F.col("person")).alias("box"), F.struct(*(v.alias(n) for n, v in zip("xywh", strip))).alias("head_box"),
+        g.violation_confidence(F.col("person_twin.conf"), F.col("vehicle_twin.conf"), F.lit(FALLBACK_FACTOR)).alias("confidence"),
         F.lit("fallback_no_helmet").alias("method"), F.lit(True).alias("on_vehicle"),
         F.col("bare").isNull().alias("has_helmet"))
     return direct.unionByName(fallback)

@@ -141,8 +141,8 @@ def checked_crossings(dets: DataFrame, n_lines: int, frames: DataFrame | None =
     """
     keys = list(keys)
     numbered = tracking.frame_index(dets if frames is None else frames)
-    rows = dets.join(numbered, ["camera_id", "frame_number"])
-    usual, hot = split_hot(rows, keys, hot_rows)
+    usual, hot = split_hot(dets, keys, hot_rows)
+    usual = usual.join(numbered, ["camera_id", "frame_number"])
     track = Window.partitionBy(*keys).orderBy("frame_number")
     out = usual.withColumn("_stay", F.col("frame_index") - F.row_number().over(track))
     stay = Window.partitionBy(*keys, "_stay").orderBy("frame_number")
@@ -162,6 +162,7 @@ def checked_crossings(dets: DataFrame, n_lines: int, frames: DataFrame | None =
     if hot is None:
         return out
     kept = ["frame_number", "det_id"] + [c for c in ("ts_sec",)]
+    hot = hot.join(numbered, ["camera_id", "frame_number"])
     checked = fold.run_rule(hot, rules.LaneCheck(), keys, ["frame_number"], [c for c in kept if c not in keys], **chunks)
     return out.unionByName(checked, allowMissingColumns=True).select(*out.columns)
 

@@ -11,7 +11,7 @@ Two forms are offered.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,8 +34,8 @@ _ITEM = ("det_id", "x", "y", "w", "h", "conf")
 # ---------------------------------------------------------------- joins
 
 
-def _named(dets: DataFrame, prefix: str) -> DataFrame:
-    return dets.select(*FRAME, *(F.col(c).alias(prefix + c) for c in _ITEM))
+def _named(dets: DataFrame, prefix: str, extra: Sequence[str] = ()) -> DataFrame:
+    return dets.select(*FRAME, *(F.col(c).alias(prefix + c) for c in (*_ITEM, *extra)))
 
 
 def _cells(df: DataFrame, prefix: str, cell: int) -> DataFrame:
@@ -49,18 +49,20 @@ def _cells(df: DataFrame, prefix: str, cell: int) -> DataFrame:
 
 
 def frame_pairs(left: DataFrame, right: DataFrame, related: Callable[[g.Box, g.Box], Column],
-                lp: str = "a_", rp: str = "b_", cell: int | None = CELL) -> DataFrame:
+                lp: str = "a_", rp: str = "b_", cell: int | None = CELL,
+                extra: tuple[Sequence[str], Sequence[str]] = ((), ())) -> DataFrame:
     """Pairs of one frame for which ``related`` holds; it must imply that the two boxes meet.
 
     A pair meets in several cells; it is reported in the one that holds the upper left corner of the
     common area. With ``cell=None`` (frames known to be small) the frame alone is the join key.
     """
     a, b = g.box(lp), g.box(rp)
+    left, right = _named(left, lp, extra[0]), _named(right, rp, extra[1])
     if cell is None:
-        return _named(left, lp).join(_named(right, rp), FRAME).where(related(a, b))
+        return left.join(right, FRAME).where(related(a, b))
     corner = ((F.floor(F.greatest(a.x, b.x) / cell) == F.col("cell_x"))
               & (F.floor(F.greatest(a.y, b.y) / cell) == F.col("cell_y")))
-    joined = _cells(_named(left, lp), lp, cell).join(_cells(_named(right, rp), rp, cell), [*FRAME, "cell_x", "cell_y"])
+    joined = _cells(left, lp, cell).join(_cells(right, rp, cell), [*FRAME, "cell_x", "cell_y"])
     return joined.where(corner & related(a, b)).drop("cell_x", "cell_y")
 
 
@@ -91,9 +93,9 @@ def on_vehicle(persons: DataFrame, vehicles: DataFrame, min_iou: float = MIN_TOU
 
 
 def rider_candidates(persons: DataFrame, vehicles: DataFrame, min_iou: float = MIN_TOUCH_IOU,
-                     cell: int | None = CELL) -> DataFrame:
+                     cell: int | None = CELL, extra: tuple[Sequence[str], Sequence[str]] = ((), ())) -> DataFrame:
     """Scored person-vehicle pairs: overlap, plus a bonus when the feet are inside the vehicle."""
-    pairs = frame_pairs(persons, vehicles, lambda p, v: g.touches(p, v, min_iou), "person_", "vehicle_", cell)
+    pairs = frame_pairs(persons, vehicles, lambda p, v: g.touches(p, v, min_iou), "person_", "vehicle_", cell, extra)
     return pairs.withColumn("score", _rider_score(g.box("person_"), g.box("vehicle_")))
 
 
@@ -145,20 +147,21 @@ def _better(p: str, q: str) -> Column:
 def _first_come(pairs: DataFrame, capacity: int) -> DataFrame:
     """Takers in ascending order each take their ``capacity`` most wished free items (small frames).
 
-    ``pairs`` has taker, wish, taken. One frame's pairs are walked once in that order; the geometry is
-    already decided, so a step only compares numbers.
+    ``pairs`` has taker, wish, taken and whatever is to be carried along. One frame's pairs are walked
+    once in that order; the geometry is already decided, so a step only compares numbers.
     """
-    kind = "array<struct<taker:bigint,taken:bigint>>"
-    ordered = pairs.groupBy(*FRAME).agg(F.sort_array(F.collect_list(F.struct("taker", "wish", "taken"))).alias("p"))
+    carried = [c for c in pairs.columns if c not in FRAME and c not in ("taker", "wish", "taken")]
+    row = F.struct("taker", "wish", "taken", *carried)
+    ordered = pairs.groupBy(*FRAME).agg(F.sort_array(F.collect_list(row)).alias("p"))
+    kind = ordered.schema["p"].dataType.simpleString()
 
     def take(acc: Column, r: Column) -> Column:
         n = F.when(acc.getField("taker") == r.getField("taker"), acc.getField("n")).otherwise(F.lit(0))
         free = (n < capacity) & ~F.array_contains(acc.getField("used"), r.getField("taken"))
-        pair = F.struct(r.getField("taker").alias("taker"), r.getField("taken").alias("taken"))
         return F.when(free, F.struct(
             r.getField("taker").alias("taker"), (n + 1).alias("n"),
             F.array_append(acc.getField("used"), r.getField("taken")).alias("used"),
-            F.array_append(acc.getField("held"), pair).alias("held"),
+            F.array_append(acc.getField("held"), r).alias("held"),
         )).otherwise(F.struct(r.getField("taker").alias("taker"), n.alias("n"), acc.getField("used").alias("used"),
                               acc.getField("held").alias("held")))
 
@@ -179,31 +182,40 @@ def assign_heads(heads: DataFrame, persons: DataFrame, ratio: float = 0.5,
                  max_boxes: int | None = MAX_BOXES) -> DataFrame:
     """Exact one-to-one assignment: heads in order, each taking the first free person that contains it.
 
-    Every head is returned, with its person or null.
+    Every head is returned, with its person (also as a struct) or null.
     """
     def pairs_of(boxes: DataFrame, cell: int | None) -> DataFrame:
         found = frame_pairs(boxes.where("_head"), boxes.where("NOT _head"),
                             lambda h, p: g.head_in_person(h, p, ratio), "head_", "person_", cell)
         return found.select(*FRAME, F.col("head_det_id").alias("taker"), F.lit(0.0).alias("wish"),
-                            F.col("person_det_id").alias("taken"))
+                            F.col("person_det_id").alias("taken"), _packed("person_"))
 
     both = heads.withColumn("_head", F.lit(True)).unionByName(persons.withColumn("_head", F.lit(False)))
     held = _assigned(pairs_of, both, 1, max_boxes).select(
-        *FRAME, F.col("taker").alias("head_det_id"), F.col("taken").alias("person_det_id"))
+        *FRAME, F.col("taker").alias("head_det_id"), F.col("taken").alias("person_det_id"), "person")
     return heads.select(*FRAME, F.col("det_id").alias("head_det_id")).join(held, [*FRAME, "head_det_id"], "left")
 
 
+def _packed(prefix: str) -> Column:
+    return F.struct(*(F.col(prefix + c).alias(c) for c in _ITEM)).alias(prefix.rstrip("_"))
+
+
 def assign_riders(persons: DataFrame, vehicles: DataFrame, limit: int = MAX_RIDERS,
-                  max_boxes: int | None = MAX_BOXES) -> DataFrame:
-    """Exact rider assignment: vehicles in order, each taking its ``limit`` best free persons."""
+                  max_boxes: int | None = MAX_BOXES, extra: Sequence[str] = ()) -> DataFrame:
+    """Exact rider assignment: vehicles in order, each taking its ``limit`` best free persons.
+
+    Returns ids, the ``wish`` (negative score) and the person struct; ``extra`` columns of both sides
+    come along as person_… and vehicle_….
+    """
     def pairs_of(boxes: DataFrame, cell: int | None) -> DataFrame:
-        found = rider_candidates(boxes.where("_person"), boxes.where("NOT _person"), cell=cell)
+        found = rider_candidates(boxes.where("_person"), boxes.where("NOT _person"), cell=cell, extra=(extra, extra))
+        more = [f"{side}_{c}" for side in ("person", "vehicle") for c in extra]
         return found.select(*FRAME, F.col("vehicle_det_id").alias("taker"), (-F.col("score")).alias("wish"),
-                            F.col("person_det_id").alias("taken"))
+                            F.col("person_det_id").alias("taken"), _packed("person_"), *more)
 
     both = persons.withColumn("_person", F.lit(True)).unionByName(vehicles.withColumn("_person", F.lit(False)))
-    return _assigned(pairs_of, both, limit, max_boxes).select(
-        *FRAME, F.col("taken").alias("person_det_id"), F.col("taker").alias("vehicle_det_id"))
+    held = _assigned(pairs_of, both, limit, max_boxes)
+    return held.withColumnsRenamed({"taken": "person_det_id", "taker": "vehicle_det_id"})
 
 
 def suppress_overlaps(dets: DataFrame, min_conf: float = NMS_SCORE, overlap: float = NMS_OVERLAP,

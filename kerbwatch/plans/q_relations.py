@@ -54,7 +54,7 @@ def _(spark, sf):
 @query("d04_heads_to_persons_exact")
 def _(spark, sf):
     persons, _, _, heads = _groups(spark, sf)
-    return relate.assign_heads(heads, persons)
+    return relate.assign_heads(heads, persons).drop("person")
 
 
 @query("d05_person_on_vehicle", sql_with("persons bikes", f"""
@@ -84,7 +84,7 @@ def _(spark, sf):
 @query("d06_riders_exact")
 def _(spark, sf):
     persons, vehicles, _, _ = _groups(spark, sf)
-    return relate.assign_riders(persons, vehicles)
+    return relate.assign_riders(persons, vehicles).drop("wish", "person")
 
 
 def _bare(extra: str = "") -> str:

@@ -289,7 +289,8 @@ def _(spark, sf):
 
 
 @query("a07_insert_new", sql_with("viol", """
-SELECT violation_id % 4000 + 1000 AS id, arg_min(violation_id, detected_at) AS first_id FROM viol GROUP BY 1 HAVING id >= 1500"""))
+SELECT violation_id % 4000 + 1000 AS id, arg_min(violation_id, detected_at) AS first_id FROM viol GROUP BY 1
+HAVING id NOT IN (SELECT violation_id FROM viol WHERE violation_id < 1500)"""))
 def _(spark, sf):
     v = d.violations(spark, sf).select((F.col("violation_id") % 4000 + 1000).alias("id"), F.col("violation_id").alias("first_id"), "detected_at")
     stored = d.violations(spark, sf).where("violation_id < 1500").select(F.col("violation_id").alias("id"))

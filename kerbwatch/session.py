@@ -24,6 +24,8 @@ def build_session(name: str = "kerbwatch", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # recording the call site of every column expression makes wide plans slow to build
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     for key, value in settings.items():
