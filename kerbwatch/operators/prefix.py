@@ -33,12 +33,30 @@ def bucketed(df: DataFrame, order: str, width: float) -> DataFrame:
     return df.withColumn(_BUCKET, F.floor(F.col(order) / F.lit(width)).cast("bigint"))
 
 
-def _attach(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join the per-bucket carry back; null keys form a group of their own, as in a window."""
-    names = [*keys, _BUCKET]
-    renamed = carry.select(*(F.col(n).alias(f"_k_{n}") for n in names), *(c for c in carry.columns if c not in names))
-    same = [F.col(n).eqNullSafe(F.col(f"_k_{n}")) for n in names]
-    return df.join(renamed, same, "left").drop(_BUCKET, *(f"_k_{n}" for n in names))
+def _led_by(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    """Put a bucket's carry in front of it as one extra row (``_real`` = 0).
+
+    The window then finds it like any earlier row. Joining it back instead would shuffle and sort all
+    rows a second time.
+    """
+    return rows.withColumn("_real", F.lit(1)).unionByName(carry.withColumn("_real", F.lit(0)), allowMissingColumns=True)
+
+
+def _inside(keys: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*keys, _BUCKET).orderBy("_real", *order)
+
+
+def _across(keys: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(_BUCKET)
+
+
+def _rank(order: Sequence[str]) -> Column:
+    """Order as one value; a single column stays plain, so that it aggregates in a hash table."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
+def _real_rows(df: DataFrame, *scratch: str) -> DataFrame:
+    return df.where(F.col("_real") == 1).drop("_real", _BUCKET, *scratch)
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str | Column],
@@ -47,41 +65,34 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
 
     ``values`` maps new column names to expressions over the row.
     """
-    b = bucketed(df, order[0], width)
     packed = F.struct(*(F.col(v).alias(n) if isinstance(v, str) else v.alias(n) for n, v in values.items()))
-    b = b.withColumn("_row", packed)
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
-    last = b.groupBy(*keys, _BUCKET).agg(F.max_by("_row", F.struct(*order)).alias("_last"))
-    across = Window.partitionBy(*keys).orderBy(_BUCKET)
-    carry = last.select(*keys, _BUCKET, F.lag("_last").over(across).alias("_carry"))
-    out = _attach(b.withColumn("_prev", F.lag("_row").over(inside)), carry, keys)
-    picked = F.coalesce("_prev", "_carry")
-    return out.select("*", *(picked.getField(n).alias(n) for n in values)).drop("_row", "_prev", "_carry")
+    rows = bucketed(df, order[0], width).withColumn("_row", packed)
+    last = rows.groupBy(*keys, _BUCKET).agg(F.max_by("_row", _rank(order)).alias("_last"))
+    carry = last.select(*keys, _BUCKET, F.lag("_last").over(_across(keys)).alias("_row")).where("_row IS NOT NULL")
+    out = _led_by(rows, carry).withColumn("_prev", F.lag("_row").over(_inside(keys, order)))
+    return _real_rows(out.withColumns({n: F.col("_prev").getField(n) for n in values}), "_row", "_prev")
 
 
 def with_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column],
                     width: float) -> DataFrame:
     """Add the newest non-null value of each expression over the strictly earlier rows of the key."""
-    b = bucketed(df, order[0], width).withColumns({f"_v_{n}": v for n, v in values.items()})
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    across = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    last = b.groupBy(*keys, _BUCKET).agg(*(
-        F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.struct(*order))).alias(f"_l_{n}") for n in values))
-    carry = last.select(*keys, _BUCKET,
-                        *(F.last(f"_l_{n}", ignorenulls=True).over(across).alias(f"_c_{n}") for n in values))
-    seen = b.withColumns({f"_w_{n}": F.last(f"_v_{n}", ignorenulls=True).over(inside) for n in values})
-    out = _attach(seen, carry, keys)
-    return (out.withColumns({n: F.coalesce(f"_w_{n}", f"_c_{n}") for n in values})
-            .drop(*(f"_{p}_{n}" for n in values for p in "vwc")))
+    names = {n: f"_v_{n}" for n in values}
+    rows = bucketed(df, order[0], width).withColumns({names[n]: v for n, v in values.items()})
+    last = rows.groupBy(*keys, _BUCKET).agg(*(
+        F.max_by(v, F.when(F.col(v).isNotNull(), _rank(order))).alias(v) for v in names.values()))
+    before = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(*keys, _BUCKET, *(F.last(v, ignorenulls=True).over(before).alias(v) for v in names.values()))
+    earlier = _inside(keys, order).rowsBetween(Window.unboundedPreceding, -1)
+    out = _led_by(rows, carry).withColumns({n: F.last(v, ignorenulls=True).over(earlier) for n, v in names.items()})
+    return _real_rows(out, *names.values())
 
 
 def with_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, value: Column,
                      width: float) -> DataFrame:
     """Add the running total of ``value`` up to and including the row; with ``lit(1)`` it numbers rows."""
-    b = bucketed(df, order[0], width).withColumn("_v", value)
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    across = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    total = b.groupBy(*keys, _BUCKET).agg(F.sum("_v").alias("_t"))
-    carry = total.select(*keys, _BUCKET, F.sum("_t").over(across).alias("_c"))
-    out = _attach(b.withColumn("_s", F.sum("_v").over(inside)), carry, keys)
-    return out.withColumn(name, F.col("_s") + F.coalesce("_c", F.lit(0))).drop("_v", "_s", "_c")
+    rows = bucketed(df, order[0], width).withColumn("_v", value.cast("bigint"))
+    total = rows.groupBy(*keys, _BUCKET).agg(F.sum("_v").alias("_t"))
+    before = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
+    carry = total.select(*keys, _BUCKET, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_v"))
+    upto = _inside(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+    return _real_rows(_led_by(rows, carry).withColumn(name, F.sum("_v").over(upto)), "_v")

@@ -87,9 +87,9 @@ def on_vehicle(persons: DataFrame, vehicles: DataFrame, min_iou: float = MIN_TOU
                cell: int | None = CELL) -> DataFrame:
     """First vehicle (lowest det_id) each person or head is on, with that vehicle's confidence."""
     pairs = frame_pairs(persons, vehicles, lambda p, v: g.touches(p, v, min_iou), "person_", "vehicle_", cell)
-    first = F.min(F.struct("vehicle_det_id", "vehicle_conf"))
-    return (pairs.groupBy(*FRAME, "person_det_id").agg(first.alias("v"))
-            .select(*FRAME, "person_det_id", "v.vehicle_det_id", "v.vehicle_conf"))
+    # two plain aggregates instead of the least struct: their buffers fit a hash table, a struct's does not
+    return pairs.groupBy(*FRAME, "person_det_id").agg(
+        F.min_by("vehicle_conf", "vehicle_det_id").alias("vehicle_conf"), F.min("vehicle_det_id").alias("vehicle_det_id"))
 
 
 def rider_candidates(persons: DataFrame, vehicles: DataFrame, min_iou: float = MIN_TOUCH_IOU,
