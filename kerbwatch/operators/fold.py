@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from kerbwatch.session import materialise
+from kerbwatch.session import materialise, ship_package
 
 CHUNK_SECONDS = 900.0
 WARM_SECONDS = 30.0
@@ -164,6 +164,7 @@ def run_rule(df: DataFrame, rule: Rule, keys: Sequence[str], order: Sequence[str
     ``order[0]`` is the frame position; rows that share it share one ``begin_frame``. ``new_id`` names the
     output column whose local identifiers are to be resolved.
     """
+    ship_package(df.sparkSession)
     keys, order, keep = list(keys), list(order), list(keep)
     out_fields = T._parse_datatype_string(rule.outputs).fields
     schema = T.StructType([

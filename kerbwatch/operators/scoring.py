@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from kerbwatch.session import ship_package
+
 
 def score_batches(df: DataFrame, loader: Callable[[], object],
                   score: Callable[[object, pd.DataFrame], pd.DataFrame], schema: str,
@@ -17,6 +19,7 @@ def score_batches(df: DataFrame, loader: Callable[[], object],
     ``score(model, batch)`` returns one output row per input row. When a batch fails its rows are tried
     one by one; the failing ones get null outputs (an array output becomes empty) and the error text.
     """
+    ship_package(df.sparkSession)
     fields = T._parse_datatype_string(schema).fields
     out = T.StructType([*df.schema.fields, *fields, T.StructField(error_column, T.StringType())])
     names = [f.name for f in fields]

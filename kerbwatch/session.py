@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -63,6 +64,22 @@ def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application, wherever the driver was started."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(here):  # not when the package itself was shipped as an archive
+        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        archive = shutil.make_archive(os.path.join(folder, "kerbwatch"), "zip", os.path.dirname(here), "kerbwatch")
+        spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
+
+
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting; a larger table keeps the planner's own choice."""
     probe = df.select(F.lit(1).alias("one")).limit(max_rows + 1).count()

@@ -16,6 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from kerbwatch import schemas
 from kerbwatch.operators import redlight
 from kerbwatch.operators.fold import Rule
+from kerbwatch.session import ship_package
 from kerbwatch.sources import config, frames, sinks
 
 FLUSH_SECONDS = 5
@@ -88,6 +89,7 @@ def rule_stream(stream: DataFrame, rule: Rule, keys: Sequence[str], order: Seque
     evicts state that can no longer matter; still older rows are dropped and counted by Spark. Without
     ``delay`` each micro-batch is taken to be complete and later than the one before.
     """
+    ship_package(stream.sparkSession)
     fields = T._parse_datatype_string(rule.outputs).fields
     schema = T.StructType([*(T.StructField(c, stream.schema[c].dataType) for c in (*keys, *keep)), *fields,
                            T.StructField("is_late", T.BooleanType())])

@@ -1,10 +1,14 @@
 """Every query that has SQL, on the small tables, against DuckDB."""
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from tests.conftest import SMALL
+from tests.conftest import ROOT, SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
@@ -59,3 +63,18 @@ def test_rows_only_queries_have_rows(spark):
 
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["camera_id", "hour", "line_id", "crossings"]
+
+
+def test_workers_find_the_package(tmp_path):
+    """Rules run although the session was started in a folder from which the package cannot be imported."""
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+import __spark_entry__ as e
+from kerbwatch.session import build_session
+spark = build_session("elsewhere", "local[2]", **{{"spark.sql.shuffle.partitions": "2"}})
+print("rows", e.queries()["i01_centroid_tracks"](spark, {SMALL!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows" in done.stdout, done.stderr[-2000:]
