@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbwatch.llm import decontam, simhash
-from kerbwatch.llm.common import documents, table
+from kerbwatch.llm import decontam, langid, simhash, toxicity
+from kerbwatch.llm.common import documents, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,3 +47,18 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN cover ON d.doc_id = cover.doc_id LEFT JOIN which ON d.doc_id = which.doc_id
 """
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~held_out("doc_id", 5, 0)))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs.where(~held_out("doc_id", 4, 2)))
+    return langid.predict(docs, model).withColumn("held_out", held_out("doc_id", 4, 2))
