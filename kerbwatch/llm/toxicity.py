@@ -1,9 +1,10 @@
 """Toxicity scores: logistic regression by FTRL-proximal over hashed words, word pairs and skip-grams.
 
-Learning takes at most ``SAMPLE`` labelled rows (chosen by a hash of their id), dealt to ``SHARDS`` tasks. Each
-runs FTRL-proximal with per-coordinate rates; the shards' weights are averaged. L1 leaves few weights, at most
-``2 ** BITS``, which is the proven size of what goes to every task. Scoring reads each whole text once and
-needs no shuffle.
+Learning takes about ``SAMPLE`` labelled rows at most (chosen by a hash of their id), a bounded number, in one
+task: FTRL-proximal is a sequence of steps, with a rate for each coordinate. L1 is larger than what one row can
+add up over all passes, so features of a single row never get a weight. Few weights are left, at most
+``2 ** BITS``, which is the proven size of what goes to every task. Scoring reads each whole text once and needs
+no shuffle.
 
 Null and empty texts have no features and get the intercept's score. Labels that are null are not learned
 from; of repeated labels of a document the largest counts. Without usable labels every score is the 0.5 of
@@ -25,10 +26,11 @@ from kerbwatch.llm.decontam import _FOLD
 from kerbwatch.session import ship_package
 
 BITS = 18
-SAMPLE = 20_000
-SHARDS = 4
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 1.0
+SAMPLE = 12_000
+EPOCHS = 8
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 12.0, 1.0
+#: Sampled rows a feature must be in to take part in learning.
+LEAST_ROWS = 3
 #: Bytes of text that are hashed together.
 BLOCK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -147,41 +149,37 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen = known.where(F.pmod(F.xxhash64(F.lit("toxicity"), key), F.lit(max(n, 1))) < sample)
     # about `sample` rows at most, by the line above
     rows = docs.select(F.col(key), raw(text).alias("_raw")).join(F.broadcast(chosen), key)
-    rows = rows.select(F.pmod(F.xxhash64(key), F.lit(SHARDS)).alias("shard"), F.col(key).alias("key"), "_label", "_raw")
-    schema = "shard bigint, key bigint, label int, features binary"
-    order = F.xxhash64(F.lit("order"), "key")
+    rows = rows.select(F.xxhash64(F.lit("order"), key).alias("place"), "_label", "_raw")
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Features(bits)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                shard, key_, label_, texts = (c.to_pylist() for c in batch.slice(lo, 256).columns)
-                out = [np.zeros(0, np.int64)] * len(texts)
+                place, label_, texts = (c.to_pylist() for c in batch.slice(lo, 256).columns)
                 got = [np.unique(t * (1 << bits) + f) for t, f in make.pieces(texts)]
                 both = np.unique(np.concatenate(got)) if got else np.zeros(0, np.int64)
                 cuts = np.searchsorted(both, np.arange(len(texts) + 1) << bits)
                 out = [(both[a:b] & ((1 << bits) - 1)).astype("<i4").tobytes() for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard, pa.int64()), pa.array(key_, pa.int64()), pa.array(label_, pa.int32()), pa.array(out, pa.binary())],
-                    names=["shard", "key", "label", "features"])
+                    [pa.array(place, pa.int64()), pa.array(label_, pa.int32()), pa.array(out, pa.binary())],
+                    names=["place", "label", "features"])
 
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["place", "key"])
-        data = [(np.frombuffer(f, "<i4"), int(y)) for f, y in zip(frame["features"], frame["label"])]
-        w, b = ftrl(data, bits)
+        frame = frame.sort_values(["place", "label"])
+        data = [np.frombuffer(f, "<i4") for f in frame["features"]]
+        often = np.zeros(1 << bits, np.int32)
+        for f in data:
+            often[f] += 1
+        w, b = ftrl([(f[often[f] >= LEAST_ROWS], int(y)) for f, y in zip(data, frame["label"])], bits)
         at = np.flatnonzero(w)
-        return pd.DataFrame({"feature": np.r_[at, 1 << bits], "weight": np.r_[w[at], b], "rows": len(data)})
-
-    numbered = rows.withColumn("key", F.xxhash64("key")).mapInArrow(shrink, schema)
-    learned = numbered.withColumn("place", order).groupBy("shard").applyInPandas(learn, "feature bigint, weight double, rows bigint")
-    # at most 2 ** bits + 1 rows
-    found = learned.groupBy("feature").agg(F.sum(F.col("weight") * F.col("rows")).alias("weight"), F.sum("rows").alias("rows")).toPandas()
-    found = found.sort_values("feature")
-    total = float(found.loc[found["feature"] == 1 << bits, "rows"].sum()) or 1.0
+        return pd.DataFrame({"feature": np.r_[at, 1 << bits], "weight": np.r_[w[at], b]})
+
+    features = rows.mapInArrow(shrink, "place bigint, label int, features binary")
+    learned = features.groupBy(F.lit(0).alias("all")).applyInPandas(learn, "feature bigint, weight double")
+    found = learned.toPandas().sort_values("feature")  # at most 2 ** bits + 1 rows
     inner = found[found["feature"] < 1 << bits]
-    weight = inner["weight"].to_numpy(float) / total
-    return {"bits": bits, "feature": inner["feature"].to_numpy(np.int64), "weight": weight,
-            "intercept": float(found.loc[found["feature"] == 1 << bits, "weight"].sum()) / total}
+    return {"bits": bits, "feature": inner["feature"].to_numpy(np.int64), "weight": inner["weight"].to_numpy(float),
+            "intercept": float(found.loc[found["feature"] == 1 << bits, "weight"].sum())}
 
 
 def score(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
