@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbwatch.llm import decontam, langid, simhash, toxicity
+from kerbwatch.llm import chat, decontam, langid, pieces, simhash, toxicity, urls
 from kerbwatch.llm.common import documents, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,18 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = langid.fit(docs.where(~held_out("doc_id", 4, 2)))
     return langid.predict(docs, model).withColumn("held_out", held_out("doc_id", 4, 2))
+
+
+@query
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(documents(spark, sf_dir), digest=True).withColumnRenamed("ids", "ids_sha256")
+
+
+@query
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chat(chat.as_tool_chat(table(spark, sf_dir, "conversations")), chat.ASK)
