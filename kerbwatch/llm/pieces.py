@@ -4,7 +4,7 @@ Forward filtering adds up, for every place in a text, the weight of all ways to
 pieces; backward sampling then draws one segmentation from the end. The draws are seeded by the row's key, so
 a row is cut the same way wherever and whenever it is encoded. No piece goes on after an inner space, and some
 bytes are in no longer piece, so the lattice falls apart into chunks; a chunk's filtered lattice is kept for
-its next occurrence (``CACHE`` chunks at most, about 200 MB).
+its next occurrence (``CACHE`` chunks at most, about 300 MB).
 
 Spaces are written as the vocabulary writes them. A byte may always be taken alone as a byte piece, at a
 weight that makes it the last resort, so every text can be encoded and decoding gives back its exact bytes,
@@ -33,7 +33,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Exponent on piece probabilities: 0 draws evenly from all segmentations, large values take the likeliest.
 THETA = 1.0
 BYTE_WEIGHT = 1e-12
-CACHE, SEEN = 80_000, 300_000
+CACHE, SEEN = 120_000, 300_000
 _SPACE = "▁"
 
 
@@ -79,11 +79,20 @@ class Vocabulary:
         self.cache: dict[bytes, list] = {}
         self.seen: set[bytes] = set()
 
-    def lattice(self, chunk: bytes) -> list:
-        """For each place of a chunk the pieces that may end there: (weight added up so far, start, id)."""
-        total, out = [1.0], [()]
+    def lattice(self, chunk: bytes) -> tuple[list, bool]:
+        """For each place of a chunk the pieces that may end there: (weight added up so far, start, id).
+
+        A place depends only on what lies before it, so a kept lattice of the chunk's beginning is gone on with.
+        The second value tells if weights were scaled on the way, which only far places of long chunks are.
+        """
+        n, out = len(chunk), [((1.0, 0, 0),)]
+        for k in range(n - 1, 2, -1):
+            if known := self.cache.get(chunk[:k]):
+                out = known[:]
+                break
+        total, scaled = [edges[-1][0] for edges in out], False
         get = self.endings.get
-        for j in range(1, len(chunk) + 1):
+        for j in range(len(out), n + 1):
             run, edges = 0.0, []
             for i in range(j - 1, -1, -1):
                 found = get(chunk[i:j], 0)
@@ -96,41 +105,47 @@ class Vocabulary:
                 run += total[j - 1] * BYTE_WEIGHT
                 edges.append((run, j - 1, self.byte[chunk[j - 1]]))
             if run < 1e-200:  # keep the numbers in range; only ratios of near places matter
+                scaled = True
                 for k in range(max(0, j - 64), j):
                     total[k] *= 1e200
                 edges = [(r * 1e200, i, p) for r, i, p in edges]
                 run *= 1e200
             total.append(run)
-            out.append(tuple(edges))
-        return out
+            out.append(edges)
+            if (j == 5 or j == 8) and j < n and not scaled:  # beginnings that many chunks share
+                self.cache[chunk[:j]] = out[:]
+        return out, scaled
 
-    def encode(self, text: bytes, seed: int) -> np.ndarray:
+    def encode(self, text: bytes, seed: int) -> list[int]:
         draw = random.Random(seed).random
         cache, seen, ids = self.cache, self.seen, []
         for chunk in self.chunks(text):
             places = cache.get(chunk)
             if places is None:
-                places = self.lattice(chunk)
-                if chunk in seen and len(chunk) < 64:  # kept from its second occurrence on
+                places, scaled = self.lattice(chunk)
+                if chunk in seen and not scaled:  # kept from its second occurrence on
                     if len(cache) >= CACHE:
                         cache.clear()
                     cache[chunk] = places
-                else:
+                elif len(chunk) < 64:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(chunk)
             at, cut = len(chunk), []
             while at:
                 edges = places[at]
-                r = draw() * edges[-1][0]
-                for run, start, piece in edges:
-                    if r < run:
-                        break
+                if len(edges) > 1:
+                    r = draw() * edges[-1][0]
+                    for run, start, piece in edges:
+                        if r < run:
+                            break
+                else:
+                    _, start, piece = edges[0]
                 cut.append(piece)
                 at = start
             cut.reverse()
             ids += cut
-        return np.array(ids, np.int32)
+        return ids
 
     def decode(self, ids) -> bytes:
         text = self.text
@@ -166,11 +181,11 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
                 piece = batch.slice(lo, 256)
                 keys, texts = piece.column(0).to_pylist(), piece.column(piece.num_columns - 1).to_pylist()
                 ids = [None if t is None else v.encode(t, seed_of(k, seed)) for k, t in zip(keys, texts)]
-                same = [t is None or v.decode(i.tolist()) == t for i, t in zip(ids, texts)]
+                same = [t is None or v.decode(i) == t for i, t in zip(ids, texts)]
                 if digest:
-                    out = pa.array([None if i is None else hashlib.sha256(i.astype("<i4").tobytes()).hexdigest() for i in ids], pa.string())
+                    out = pa.array([None if i is None else hashlib.sha256(np.array(i, "<i4").tobytes()).hexdigest() for i in ids], pa.string())
                 else:
-                    flat = np.concatenate([np.zeros(0, np.int32), *(i for i in ids if i is not None)])
+                    flat = np.concatenate([np.zeros(0, np.int32), *(np.array(i, np.int32) for i in ids if i is not None)])
                     out = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(0 if i is None else len(i) for i in ids)]), pa.int32()),
                                                    pa.array(flat), mask=pa.array([i is None for i in ids]))
                 yield pa.RecordBatch.from_arrays(
