@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbwatch.llm import chat, decontam, langid, pieces, simhash, toxicity, urls
+from kerbwatch.llm import chat, decontam, langid, pieces, prints, simhash, toxicity, urls
 from kerbwatch.llm.common import documents, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,8 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chat(chat.as_tool_chat(table(spark, sf_dir, "conversations")), chat.ASK)
+
+
+@query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prints.report(documents(spark, sf_dir))
