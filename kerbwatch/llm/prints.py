@@ -47,15 +47,15 @@ def fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         if column != "_words":
             df = df.drop({"_hashes": "_words", "_shingles": "_hashes", "_ordered": "_shingles", "_full": "_ordered"}[column])
     shift = _SIZE - (BINS.bit_length() - 1)
-    low = lambda h: F.lpad(F.lower(F.hex(h.bitwiseAND((1 << BITS) - 1))), BITS // 4, "0")
-    df = df.withColumn("_byte", F.map_from_arrays(F.transform("_full", lambda h: F.shiftright(h, shift).cast("int")),
-                                                  F.transform("_full", low)))
-    keys = F.map_keys("_byte")
-    # rank of a full bin j in bin i's order; the pair of numbers is its tie-break, so the choice is always the same
+    df = df.withColumn("_held", F.map_from_arrays(F.transform("_full", lambda h: F.shiftright(h, shift).cast("int")), F.col("_full")))
+    keys = F.map_keys("_held")
+    # rank of a full bin j in bin i's order; j itself is the tie-break, so the choice is always the same
     rank = lambda i: F.transform(keys, lambda j: F.pmod(F.hash(i, j), F.lit(1 << 20)).cast("bigint") * BINS + j)
-    chosen = lambda i: F.element_at("_byte", (F.array_min(rank(i)) % BINS).cast("int"))
+    chosen = lambda i: F.element_at("_held", (F.array_min(rank(i)) % BINS).cast("int"))
+    # the value is hashed with the bin, so that bins with the same value do not agree by chance all together
+    low = lambda i, h: F.lpad(F.lower(F.hex(F.xxhash64(h, i).bitwiseAND((1 << BITS) - 1))), BITS // 4, "0")
     packed = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)),
-                         lambda i: F.coalesce(F.element_at("_byte", i), chosen(i)))
+                         lambda i: low(i, F.coalesce(F.element_at("_held", i), chosen(i))))
     return df.withColumn(name, F.array_join(packed, "")).select(*rest, name)
 
 
@@ -87,8 +87,8 @@ def successors(docs: DataFrame, key: str, text: str) -> DataFrame:
     ordered = lots.select("*", F.lead("lot").over(Window.partitionBy("area").orderBy("lot")).alias("near"))
     heads = ordered.join(after, "area").select("lot", F.coalesce("near", "following").alias("next_lot"))
     heads = heads.join(first.select(F.col("lot").alias("next_lot"), "head"), "next_lot").select("lot", "head")
-    edge = led.where("next IS NULL").join(heads, "lot").select("key", "text", F.col("head").alias("next"))
-    both = led.where("next IS NOT NULL").select("key", "text", "next").union(edge)
+    # the rows lie by lot already, so this moves the small side only
+    both = led.join(heads, "lot").select("key", "text", F.coalesce("next", "head").alias("next"))
     return both.select("key", "text", F.col("next.key").alias("next_key"), F.col("next.text").alias("next_text"))
 
 
