@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbwatch.llm import chat, decontam, langid, pieces, pii, prints, simhash, toxicity, urls
+from kerbwatch.llm import chat, decontam, langid, longdup, pieces, pii, prints, simhash, toxicity, urls
 from kerbwatch.llm.common import documents, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(documents(spark, sf_dir))
+
+
+@query
+def op7_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longdup.report(documents(spark, sf_dir))
