@@ -181,12 +181,10 @@ SELECT vec_id, CAST(list_position(s, list_max(s)) - 1 AS INT) AS class_id, round
   CAST(trunc(CAST(trunc(abs(embedding[1]) * 1920::FLOAT) AS INT) - CAST(trunc(abs(embedding[3]) * 1920::FLOAT) AS INT) / 2.0e0) AS INT) AS x,
   CAST(trunc(CAST(trunc(abs(embedding[2]) * 1080::FLOAT) AS INT) - CAST(trunc(abs(embedding[4]) * 1080::FLOAT) AS INT) / 2.0e0) AS INT) AS y,
   CAST(trunc(abs(embedding[3]) * 1920::FLOAT) AS INT) AS w, CAST(trunc(abs(embedding[4]) * 1080::FLOAT) AS INT) AS h
-FROM (SELECT vec_id, embedding, embedding[6:13] AS s FROM embeddings) t WHERE list_max(s) >= 0.05""")
+FROM (SELECT vec_id, embedding, embedding[6:64] AS s FROM embeddings) t WHERE list_max(s) >= 0.05""")
 def _(spark, sf):
-    vec = F.transform("embedding", lambda v: v)
-    boxed = F.transform(F.slice("embedding", 1, 4), lambda v: F.abs(v))
-    whole = F.concat(boxed, F.slice(vec, 5, 100000))
-    cols = g.decode_head(F.col("vec"), d.FRAME_W, d.FRAME_H, 8)
+    whole = F.transform("embedding", lambda v, i: F.when(i < 4, F.abs(v)).otherwise(v))
+    cols = g.decode_head(F.col("vec"), d.FRAME_W, d.FRAME_H, 59)  # all that follow the box and objectness
     raw = d.table(spark, sf, "embeddings").select("vec_id", whole.alias("vec"))
     out = raw.select("vec_id", *(c.alias(n) for n, c in cols.items()))
     return out.where(F.col("conf") >= F.lit(0.05)).withColumn("conf", r6("conf"))

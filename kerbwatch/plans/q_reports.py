@@ -351,14 +351,14 @@ def _(spark, sf):
 
 @query("j01_batch_scoring", """
 SELECT vec_id, CAST(list_position(s, list_max(s)) - 1 AS INT) AS best, round(list_max(s), 4) AS score FROM (
-  SELECT vec_id, [list_sum(list_transform(embedding[1:8], lambda v: CAST(v AS DOUBLE))), list_sum(list_transform(embedding[9:16], lambda v: CAST(v AS DOUBLE))),
-    list_sum(list_transform(embedding[17:24], lambda v: CAST(v AS DOUBLE)))] AS s FROM embeddings) t""")
+  SELECT vec_id, [list_sum(list_transform(embedding[1:16], lambda v: CAST(v AS DOUBLE))), list_sum(list_transform(embedding[17:32], lambda v: CAST(v AS DOUBLE))),
+    list_sum(list_transform(embedding[33:48], lambda v: CAST(v AS DOUBLE))), list_sum(list_transform(embedding[49:64], lambda v: CAST(v AS DOUBLE)))] AS s FROM embeddings) t""")
 def _(spark, sf):
     def loader():
-        return np.repeat(np.eye(3), 8, axis=0)
+        return np.repeat(np.eye(4), 16, axis=0)
 
     def score(weights, batch):
-        x = np.stack([np.asarray(v, dtype="float64")[:24] for v in batch["embedding"]]) @ weights
+        x = np.stack([np.asarray(v, dtype="float64") for v in batch["embedding"]]) @ weights
         return pd.DataFrame({"best": x.argmax(axis=1).astype("int32"), "score": x.max(axis=1)})
 
     rows = d.table(spark, sf, "embeddings").select("vec_id", "embedding")
