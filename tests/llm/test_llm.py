@@ -200,8 +200,6 @@ def test_pieces(spark, odd, none):
     with open(pieces.MODEL, "rb") as f:
         v = pieces.Vocabulary(f.read())
     drawn = Counter(tuple(v.encode(b" other", s)) for s in range(3000))
-    weight = {p: v.weight for p in ()}
-    del weight
     likely = {ids: np.prod([v.weight[v.text[i]][1] for i in ids]) for ids in drawn}
     total = sum(likely.values())
     assert all(abs(n / 3000 - likely[ids] / total) < 0.05 for ids, n in drawn.items())
