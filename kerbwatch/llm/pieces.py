@@ -1,10 +1,12 @@
 """SentencePiece encoding by sampling from the piece lattice, and lossless decoding.
 
 Forward filtering adds up, for every place in a text, the weight of all ways to cut the text before it into
-pieces; backward sampling then draws one segmentation from the end. The draws are seeded by the row's key, so
-a row is cut the same way wherever and whenever it is encoded. No piece goes on after an inner space, and some
-bytes are in no longer piece, so the lattice falls apart into chunks; a chunk's filtered lattice is kept for
-its next occurrence (``CACHE`` chunks at most, about 300 MB).
+pieces; backward sampling then draws one segmentation from the end. The draws are hashes of the row's key and
+the place, so a row is cut the same way wherever and whenever it is encoded. No piece goes on after an inner
+space, and some bytes are in no longer piece, so the lattice falls apart into chunks. About a megabyte of text is
+worked on at a time: its distinct chunks are filtered place by place, all chunks together, and all its chunks
+are sampled together, piece by piece. Chunks above ``LONG`` bytes are filtered and sampled one by one, and keep
+one number for every place.
 
 Spaces are written as the vocabulary writes them. A byte may always be taken alone as a byte piece, at a
 weight that makes it the last resort, so every text can be encoded and decoding gives back its exact bytes,
@@ -13,15 +15,14 @@ literal space marks included. Null texts give null; empty texts no pieces. Equal
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import math
-import random
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Exponent on piece probabilities: 0 draws evenly from all segmentations, large values take the likeliest.
 THETA = 1.0
 BYTE_WEIGHT = 1e-12
-CACHE, SEEN = 120_000, 300_000
+#: Bytes of text worked on together, and the longest chunk that takes part in that.
+BLOCK, LONG = 1 << 20, 64
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = "▁"
 
 
@@ -69,89 +72,201 @@ class Vocabulary:
             self.chunks = (lambda text: [text])
         else:
             self.chunks = re.compile(b"[" + solo + b"]| *[^ " + solo + b"]+| +" if solo else b" *[^ ]+| +", re.S).findall
-        # every ending of a piece, with the piece's id and weight where it is one: a search back from a place
-        # stops at the first string that ends no piece
-        self.endings: dict[bytes, tuple | None] = {}
+        # every ending of a piece, with the piece's id and log weight where it is one (else -1): a search back from
+        # a place stops at the first string that ends no piece
+        self.endings: dict[bytes, tuple[int, float]] = {}
         for piece in self.weight:
             for k in range(1, len(piece)):
-                self.endings.setdefault(piece[k:], None)
-        self.endings.update(self.weight)
-        self.cache: dict[bytes, list] = {}
-        self.seen: set[bytes] = set()
-
-    def lattice(self, chunk: bytes) -> tuple[list, bool]:
-        """For each place of a chunk the pieces that may end there: (weight added up so far, start, id).
-
-        A place depends only on what lies before it, so a kept lattice of the chunk's beginning is gone on with.
-        The second value tells if weights were scaled on the way, which only far places of long chunks are.
-        """
-        n, out = len(chunk), [((1.0, 0, 0),)]
-        for k in range(n - 1, 2, -1):
-            if known := self.cache.get(chunk[:k]):
-                out = known[:]
+                self.endings.setdefault(piece[k:], (-1, 0.0))
+        self.endings.update({piece: (i, math.log(w)) for piece, (i, w) in self.weight.items()})
+        for b in range(256):
+            if self.endings.get(bytes([b]), (-1, 0.0))[0] < 0:
+                self.endings[bytes([b])] = (self.byte[b], math.log(BYTE_WEIGHT))
+        self.longest = max(map(len, self.endings))
+        table = sorted((_hash(e), i, w) for e, (i, w) in self.endings.items())
+        self.hashes = np.array([h for h, _, _ in table], np.uint64)
+        self.ids = np.array([i for _, i, _ in table], np.int32)
+        self.logs = np.array([w for _, _, w in table])
+
+    def encode_all(self, texts: list[bytes], seeds: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The piece numbers of all texts in a row, and how many each text has."""
+        chunks, per_text = [], []
+        for text in texts:
+            found = self.chunks(text)
+            chunks += found
+            per_text.append(len(found))
+        if not chunks:
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        size = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        row = np.repeat(np.arange(len(texts)), per_text)
+        begin = np.cumsum(size) - size
+        begin -= np.repeat(np.cumsum([0, *map(len, texts[:-1])]), per_text)
+        seed = np.array(seeds, np.uint64)[row]
+        counts = np.zeros(len(chunks), np.int64)
+        steps = []
+        short = np.flatnonzero(size <= LONG)
+        if len(short):
+            number: dict[bytes, int] = {}
+            which = np.fromiter((number.setdefault(c, len(number)) for c in chunks if len(c) <= LONG), np.int64, len(short))
+            steps = self._sample(self._filter(list(number)), which, short, size, begin, seed)
+            for step, (at, _) in enumerate(steps):
+                counts[at] = step + 1
+        long = {c: self._one(chunks[c], int(begin[c]), seed[c]) for c in np.flatnonzero(size > LONG).tolist()}
+        for c, ids in long.items():
+            counts[c] = len(ids)
+        end = np.cumsum(counts)
+        out = np.empty(end[-1], np.int32)
+        for step, (at, ids) in enumerate(steps):
+            out[end[at] - 1 - step] = ids
+        for c, ids in long.items():
+            out[end[c] - len(ids): end[c]] = ids
+        return out, np.bincount(row, weights=counts, minlength=len(texts)).astype(np.int64)
+
+    def _filter(self, chunks: list[bytes]) -> tuple:
+        """Forward filtering of distinct chunks. Place j of the chunk of rank r by length has number first[j] + r."""
+        size = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        order = np.argsort(-size, kind="stable")
+        rank = np.empty(len(chunks), np.int64)
+        rank[order] = np.arange(len(chunks))
+        top = int(size.max())
+        alive = len(chunks) - np.searchsorted(np.sort(size), np.arange(top + 1))  # chunks that have a place j
+        first = np.r_[0, np.cumsum(alive)]
+        letters = np.frombuffer(b"".join(chunks), np.uint8).astype(np.uint64)
+        place = np.arange(len(letters)) - np.repeat(np.cumsum(size) - size, size) + 1
+        of = np.repeat(rank, size)
+        node = first[place] + of
+        # edges by length: the strings that end at a place and are pieces
+        found = []
+        at, h, power = np.arange(len(letters)), np.zeros(len(letters), np.uint64), 1
+        for length in range(1, self.longest + 1):
+            h = h + (letters[at - length + 1] + np.uint64(1)) * np.uint64(power)
+            power = power * int(_BASE) % 2**64
+            k = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            known = self.hashes[k] == h
+            at, h, k = at[known], h[known], k[known]
+            piece = self.ids[k] >= 0
+            ends = at[piece]
+            found.append((node[ends], first[place[ends] - length] + of[ends], k[piece]))
+            more = place[at] > length
+            at, h = at[more], h[more]
+            if not len(at):
                 break
-        total, scaled = [edges[-1][0] for edges in out], False
-        get = self.endings.get
-        for j in range(len(out), n + 1):
-            run, edges = 0.0, []
-            for i in range(j - 1, -1, -1):
-                found = get(chunk[i:j], 0)
-                if found:
-                    run += total[i] * found[1]
-                    edges.append((run, i, found[0]))
-                elif found == 0:
+        degree = np.zeros(first[-1], np.int64)
+        for ends, _, _ in found:
+            degree[ends] += 1
+        until = np.cumsum(degree)
+        free = until - degree
+        came, entry = np.empty(until[-1], np.int64), np.empty(until[-1], np.int64)
+        for ends, starts, k in reversed(found):  # long pieces first: they are likelier and end the search when sampling
+            spot = free[ends]
+            came[spot], entry[spot] = starts, k
+            free[ends] += 1
+        log, total, part = self.logs[entry], np.zeros(first[-1]), np.empty(until[-1])
+        for j in range(1, top + 1):
+            lo, hi = first[j], first[j + 1]
+            e, f = until[lo - 1], until[hi - 1]
+            segment, many = until[lo - 1: hi - 1] - e, degree[lo:hi]
+            x = log[e:f] + total[came[e:f]]
+            best = np.maximum.reduceat(x, segment)
+            x = np.exp(x - np.repeat(best, many))
+            s = np.add.reduceat(x, segment)
+            total[lo:hi] = best + np.log(s)
+            part[e:f] = x / np.repeat(s, many)
+        run = np.cumsum(part)
+        run -= np.repeat(np.r_[0.0, run][until - degree], degree)
+        return first, rank, until, degree, came, self.ids[entry], run
+
+    @staticmethod
+    def _sample(lattice: tuple, which: np.ndarray, at: np.ndarray, size: np.ndarray, begin: np.ndarray, seed: np.ndarray) -> list:
+        """Backward sampling: for every step the chunks that still take a piece, and the piece."""
+        first, rank, until, degree, came, ids, run = lattice
+        left = size[at]
+        node = first[left] + rank[which]
+        mine = rank[which]
+        steps = []
+        while len(at):
+            u = _uniform(seed[at], begin[at] + left)
+            pick, last = until[node] - degree[node], until[node] - 1
+            open_ = np.flatnonzero(u >= run[pick])
+            while len(open_):
+                open_ = open_[pick[open_] < last[open_]]
+                pick[open_] += 1
+                open_ = open_[u[open_] >= run[pick[open_]]]
+            steps.append((at, ids[pick]))
+            node = came[pick]
+            left = np.searchsorted(first, node, side="right") - 1
+            go = left > 0
+            at, node, left = at[go], node[go], left[go]
+        return steps
+
+    def _edges(self, chunk: bytes, j: int) -> list[tuple[int, int, float]]:
+        """Pieces that end at a place: (start, id, log weight), the longest first."""
+        out, get = [], self.endings.get
+        for i in range(j - 1, -1, -1):
+            found = get(chunk[i:j])
+            if found is None:
+                break
+            if found[0] >= 0:
+                out.append((i, *found))
+        out.reverse()
+        return out
+
+    def _one(self, chunk: bytes, begin: int, seed: np.uint64) -> list[int]:
+        """The same for one chunk of any length."""
+        total = [0.0]
+        for j in range(1, len(chunk) + 1):
+            x = [w + total[i] for i, _, w in self._edges(chunk, j)]
+            best = max(x)
+            total.append(best + math.log(sum([math.exp(v - best) for v in x])))
+        out, j = [], len(chunk)
+        u = _uniform(np.full(j + 1, seed), begin + np.arange(j + 1))
+        while j:
+            draw = u[j]
+            for start, piece, w in self._edges(chunk, j):
+                draw -= math.exp(w + total[start] - total[j])
+                if draw < 0:
                     break
-            if not edges or edges[0][1] != j - 1:
-                run += total[j - 1] * BYTE_WEIGHT
-                edges.append((run, j - 1, self.byte[chunk[j - 1]]))
-            if run < 1e-200:  # keep the numbers in range; only ratios of near places matter
-                scaled = True
-                for k in range(max(0, j - 64), j):
-                    total[k] *= 1e200
-                edges = [(r * 1e200, i, p) for r, i, p in edges]
-                run *= 1e200
-            total.append(run)
-            out.append(edges)
-            if (j == 5 or j == 8) and j < n and not scaled:  # beginnings that many chunks share
-                self.cache[chunk[:j]] = out[:]
-        return out, scaled
+            out.append(piece)
+            j = start
+        return out[::-1]
 
     def encode(self, text: bytes, seed: int) -> list[int]:
-        draw = random.Random(seed).random
-        cache, seen, ids = self.cache, self.seen, []
-        for chunk in self.chunks(text):
-            places = cache.get(chunk)
-            if places is None:
-                places, scaled = self.lattice(chunk)
-                if chunk in seen and not scaled:  # kept from its second occurrence on
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[chunk] = places
-                elif len(chunk) < 64:
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(chunk)
-            at, cut = len(chunk), []
-            while at:
-                edges = places[at]
-                if len(edges) > 1:
-                    r = draw() * edges[-1][0]
-                    for run, start, piece in edges:
-                        if r < run:
-                            break
-                else:
-                    _, start, piece = edges[0]
-                cut.append(piece)
-                at = start
-            cut.reverse()
-            ids += cut
-        return ids
+        return self.encode_all([text], [seed])[0].tolist()
 
     def decode(self, ids) -> bytes:
         text = self.text
         return b"".join([text[i] for i in ids])
 
 
+def _hash(string: bytes) -> int:
+    """Polynomial hash that grows to the left, modulo 2^64."""
+    h, power = 0, 1
+    for b in reversed(string):
+        h, power = (h + (b + 1) * power) % 2**64, power * int(_BASE) % 2**64
+    return h
+
+
+def _uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Numbers in [0, 1) from seeds and places (SplitMix64)."""
+    z = seed + (place.astype(np.uint64) + np.uint64(1)) * _BASE
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+
+
+def _blocks(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[tuple[int, int]]:
+    """Runs of rows with about ``BLOCK`` bytes of text (the last column)."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
+    lo = held = 0
+    for i, n in enumerate(sizes):
+        if i > lo and (held + n > BLOCK or i - lo >= rows):
+            yield lo, i
+            lo, held = i, 0
+        held += n
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
 def seed_of(key, seed: int) -> int:
     return xxhash.xxh64_intdigest(repr(key), seed)
 
@@ -175,21 +290,21 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(shared.value, theta)
-        gc.disable()  # the lattices hold no cycles, and there are very many small objects
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                piece = batch.slice(lo, 256)
-                keys, texts = piece.column(0).to_pylist(), piece.column(piece.num_columns - 1).to_pylist()
-                ids = [None if t is None else v.encode(t, seed_of(k, seed)) for k, t in zip(keys, texts)]
-                same = [t is None or v.decode(i) == t for i, t in zip(ids, texts)]
+            for lo, hi in _blocks(batch):
+                part = batch.slice(lo, hi - lo)
+                keys, texts = part.column(0).to_pylist(), part.column(part.num_columns - 1).to_pylist()
+                flat, n = v.encode_all([t or b"" for t in texts], [seed_of(k, seed) for k in keys])
+                to = np.cumsum([0, *n])
+                same = [t is None or v.decode(flat[a:b].tolist()) == t for t, a, b in zip(texts, to, to[1:])]
+                absent = pa.array([t is None for t in texts])
                 if digest:
-                    out = pa.array([None if i is None else hashlib.sha256(np.array(i, "<i4").tobytes()).hexdigest() for i in ids], pa.string())
+                    raw_ids = flat.astype("<i4")
+                    out = pa.array([None if t is None else hashlib.sha256(raw_ids[a:b]).hexdigest() for t, a, b in zip(texts, to, to[1:])], pa.string())
                 else:
-                    flat = np.concatenate([np.zeros(0, np.int32), *(np.array(i, np.int32) for i in ids if i is not None)])
-                    out = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(0 if i is None else len(i) for i in ids)]), pa.int32()),
-                                                   pa.array(flat), mask=pa.array([i is None for i in ids]))
+                    out = pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(flat), mask=absent)
                 yield pa.RecordBatch.from_arrays(
-                    [*piece.columns[:-1], pa.array([0 if i is None else len(i) for i in ids], pa.int64()), out, pa.array(same)],
+                    [*part.columns[:-1], pa.array(n, pa.int64()), out, pa.array(same)],
                     names=[*columns, "n_pieces", "ids", "lossless"])
 
     schema = f"{fields}, n_pieces bigint, ids {'string' if digest else 'array<int>'}, lossless boolean"

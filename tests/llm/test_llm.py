@@ -206,6 +206,18 @@ def test_pieces(spark, odd, none):
     assert pieces.encode(none).count() == 0
 
 
+def test_pieces_of_chunks_one_by_one_and_together(monkeypatch):
+    with open(pieces.MODEL, "rb") as f:
+        v = pieces.Vocabulary(f.read())
+    texts = [(t or "").encode() for _, t in ODD] + [b"x" * 63 + b" " + b"y" * 65, b"\xff\x00 abc" * 9, "日本語の長い文".encode() * 40]
+    together = v.encode_all(texts, list(range(len(texts))))
+    monkeypatch.setattr(pieces, "LONG", 0)
+    one_by_one = v.encode_all(texts, list(range(len(texts))))
+    assert together[0].tolist() == one_by_one[0].tolist() and together[1].tolist() == one_by_one[1].tolist()
+    assert v.decode(together[0].tolist()) == b"".join(texts)
+    assert one_by_one[0].tolist() == [i for n, t in enumerate(texts) for i in v.encode(t, n)]
+
+
 def test_chat(spark):
     call = '{"tool_calls": [{"id": "%s", "name": "ask", "arguments": %s}]}'
     rows = [(1, 0, "user", "hello"), (1, 1, "assistant", call % ("a", '{"query": "q", "size": 1}')), (1, 2, "tool", '{"tool_call_id": "a", "content": {"b": 1, "a": 2}}'),
