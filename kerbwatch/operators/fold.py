@@ -137,8 +137,8 @@ def _scan(rule: Rule, n_keys: int, n_keep: int, n_order: int, schema: T.StructTy
                         entry = [(s["sig"], s["t"], -(i + 1)) for i, s in enumerate(given)]
                     else:
                         entry = rule.rebase(now)
-                if order[0] != frame:
-                    frame = order[0]
+                if (now, order[0]) != frame:
+                    frame = (now, order[0])
                     rule.begin_frame(now)
                 result = rule.row(now, *rest[n_keep:])
                 if result is not None and not warm:
@@ -159,10 +159,10 @@ def _memory(slots) -> list[dict]:
 def run_rule(df: DataFrame, rule: Rule, keys: Sequence[str], order: Sequence[str], keep: Sequence[str],
              time: str = "ts_sec", chunk_seconds: float = CHUNK_SECONDS, warm_seconds: float = WARM_SECONDS,
              new_id: str | None = None) -> DataFrame:
-    """Apply ``rule`` per key in ``order`` and return ``keys + keep + rule.outputs``.
+    """Apply ``rule`` per key by ``time``, then ``order``, and return ``keys + keep + rule.outputs``.
 
-    ``order[0]`` is the frame position; rows that share it share one ``begin_frame``. ``new_id`` names the
-    output column whose local identifiers are to be resolved.
+    ``time`` comes first, so a frame counter may start again. Time and ``order[0]`` are the frame position; rows that
+    share them share one ``begin_frame``. ``new_id`` names the output column whose local identifiers are to be resolved.
     """
     ship_package(df.sparkSession)
     keys, order, keep = list(keys), list(order), list(keep)
@@ -183,7 +183,7 @@ def run_rule(df: DataFrame, rule: Rule, keys: Sequence[str], order: Sequence[str
         # a fixed number: the rule is bound by Python time, not by the bytes adaptive coalescing looks at
         parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         placed = rows.select(*columns).repartition(parts, *keys, "_chunk")
-        ordered = placed.sortWithinPartitions(*keys, "_chunk", *(f"_o{i}" for i in range(len(order))))
+        ordered = placed.sortWithinPartitions(*keys, "_chunk", "_now", *(f"_o{i}" for i in range(len(order))))
         return ordered.mapInArrow(body, schema)
 
     late = F.col(time) - own * chunk_seconds >= chunk_seconds - warm_seconds

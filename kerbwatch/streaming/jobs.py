@@ -52,13 +52,13 @@ def _step(rule: Rule, keys: Sequence[str], order: Sequence[str], keep: Sequence[
             due, held = [r for r in held if r[0] <= horizon], [r for r in held if r[0] > horizon]
         at = {c: i for i, c in enumerate(columns)}
         # nulls first, as in the batch sort
-        due.sort(key=lambda r: tuple((r[at[c]] is not None, 0 if r[at[c]] is None else r[at[c]]) for c in order))
+        due.sort(key=lambda r: tuple((r[at[c]] is not None, 0 if r[at[c]] is None else r[at[c]]) for c in (time, *order)))
         rule.restore(memory)
         found, frame = [], None
         for r in due:
             done = r[0]
-            if r[at[order[0]]] != frame:
-                frame = r[at[order[0]]]
+            if (done, r[at[order[0]]]) != frame:
+                frame = (done, r[at[order[0]]])
                 rule.begin_frame(done)
             result = rule.row(done, *(r[at[c]] for c in rule.inputs))
             if result is not None:

@@ -69,6 +69,14 @@ def test_track_lifetime(spark, pause, same):
     assert (numbers[0] == numbers[1]) is same
 
 
+@pytest.mark.parametrize("chunk", [900.0, 50.0, 0.3])
+def test_frame_counter_that_starts_again(spark, chunk):
+    rows = [("a", 4 + i, i / 4, i, 2, 10, 10, 20, 20, 0.9) for i in range(4)]
+    rows += [("a", i, 100 + i / 4, 4 + i, 2, 10, 10, 20, 20, 0.9) for i in range(4)]
+    got = tracking.track(spark.createDataFrame(rows, COLUMNS), chunk_seconds=chunk, warm_seconds=min(chunk, 3.0))
+    assert [r.track_id for r in got.orderBy("det_id").collect()] == [1] * 4 + [2] * 4
+
+
 @pytest.mark.parametrize("chunks", CHUNKS)
 def test_cooldown(spark, chunks):
     rnd = random.Random(2)
