@@ -42,20 +42,20 @@ SELECT image_id, (image_id * 37 + l_partkey % 25) % 181 AS h, (l_suppkey * 13 +
 FROM (SELECT l_orderkey % 20 AS image_id, l_orderkey, l_partkey, l_suppkey FROM lineitem) p""",
     "cfg": """
 SELECT * FROM (VALUES
-  ('default', 1920, 1080, 657, 30, 'below', 1022, 388, 1138, 459, 30),
-  ('cam1', 1920, 1080, 646, 30, 'above', 28, 9, 184, 190, 40),
-  ('cam2', 1280, 720, 513, 30, 'below', 1042, 582, 1159, 677, 30),
-  ('cam3', 1280, 720, 397, 30, 'above', 483, 193, 552, 284, 30)
+  ('default', 1920, 1080, 640, 30, 'below', 900, 360, 1040, 470, 30),
+  ('cam1', 1920, 1080, 700, 30, 'above', 60, 40, 220, 230, 40),
+  ('cam2', 1280, 720, 480, 30, 'below', 980, 500, 1110, 610, 30),
+  ('cam3', 1280, 720, 421, 30, 'above', 440, 150, 530, 260, 30)
 ) t(camera_id, fw, fh, stop_y, tolerance, direction, lx1, ly1, lx2, ly2, threshold)""",
     "zone": """
 SELECT * FROM (VALUES
-  ('cam1', 0, 640, 406), ('cam1', 1, 1167, 410), ('cam1', 2, 1899, 1014), ('cam1', 3, 52, 1018),
-  ('cam2', 0, 229, 351), ('cam2', 1, 10, 703), ('cam2', 2, 965, 712), ('cam2', 3, 753, 355),
-  ('cam3', 0, 384, 715), ('cam3', 1, 330, 333), ('cam3', 2, 483, 336), ('cam3', 3, 725, 717)
+  ('cam1', 0, 500, 260), ('cam1', 1, 1420, 280), ('cam1', 2, 1820, 1040), ('cam1', 3, 90, 1000),
+  ('cam2', 0, 300, 200), ('cam2', 1, 60, 680), ('cam2', 2, 1180, 690), ('cam2', 3, 900, 210),
+  ('cam3', 0, 421, 701), ('cam3', 1, 250, 150), ('cam3', 2, 640, 160), ('cam3', 3, 1010, 690)
 ) t(camera_id, n, px, py)""",
     "lines": """
-SELECT * FROM (VALUES ('cam1', 0, 640, 406, 52, 1018, 'solid'), ('cam1', 1, 900, 408, 950, 1016, 'dashed'),
-  ('cam1', 2, 1167, 410, 1899, 1014, 'solid')) t(camera_id, line_id, x1, y1, x2, y2, type)""",
+SELECT * FROM (VALUES ('cam1', 0, 700, 300, 480, 980, 'solid'), ('cam1', 1, 960, 300, 980, 980, 'dashed'),
+  ('cam1', 2, 1220, 310, 1460, 970, 'solid')) t(camera_id, line_id, x1, y1, x2, y2, type)""",
     # scaled to 1920 x 1080
     "cfgs": """
 SELECT camera_id, CAST(trunc(stop_y * (1080.0e0 / fh)) AS INT) AS stop_y, tolerance, direction,
