@@ -253,35 +253,49 @@ def report(docs: DataFrame, items: DataFrame, **names) -> DataFrame:
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", max_coverage: float = MAX_COVERAGE,
                   window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` with every span of a benchmark window cut out of ``text``; a document with more than
-    ``max_coverage`` of its words hit goes. Cutting is repeated until the joined rest has no window either.
+    ``max_coverage`` of its words hit goes. Hits are those of all shards together, on the same text; cutting is
+    repeated until the joined rest has no window of any shard. The number of shards does not change the result.
     All other columns stay as they are; the text of a clean document is unchanged.
     """
-    parts = list(docs.columns)
-    frame = docs
-    for part in shards(items, "item_id", "text", shard_words):
-        shared = docs.sparkSession.sparkContext.broadcast(Automaton(part, window))
-
-        def make(shared=shared):
-            automaton = shared.value
-
-            def row(*values):
-                *rest, value = values
-                while value:
-                    tokens = words(value)
-                    runs, _ = automaton.scan(tokens)
-                    if not runs:
-                        break
-                    if sum(b - a for a, b in runs) > max_coverage * len(tokens):
-                        return None
-                    value = without(value, runs)
-                return (*rest, value)
-
-            return row
-
-        rest = [c for c in parts if c != text]
-        fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
-        cut = map_rows(frame.select(*(F.col(f"`{c}`") for c in rest), raw(F.col(f"`{text}`")).alias("_raw")), make,
-                       f"{fields}, _raw binary" if rest else "_raw binary")
-        frame = cut.select(*(F.col("_raw").cast("string").alias(text) if c == text else F.col(f"`{c}`") for c in parts))
-        frame = materialise(frame, "decontaminated")
-    return frame
+    rest = [c for c in docs.columns if c != text]
+    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest), "_raw binary", "_runs array<struct<a:int,b:int>>"])
+    frame = docs.select(*(F.col(f"`{c}`") for c in rest), raw(F.col(f"`{text}`")).alias("_raw"),
+                        F.lit(None).cast("array<struct<a:int,b:int>>").alias("_runs"))
+    settled = None
+    while True:
+        parts = shards(items, "item_id", "text", shard_words)
+        part, single = next(parts), True
+        while part is not None:
+            following = next(parts, None)
+            last = following is None
+            single = single and last
+            shared = docs.sparkSession.sparkContext.broadcast(Automaton(part, window))
+
+            def make(shared=shared, last=last, single=single):
+                automaton = shared.value
+
+                def row(*values):
+                    *others, value, runs = values
+                    while True:
+                        tokens = words(value)
+                        runs = joined([(r["a"], r["b"]) for r in runs or ()] + automaton.scan(tokens)[0])
+                        if not last:
+                            return (*others, value, [{"a": a, "b": b} for a, b in runs])
+                        if not runs:
+                            return (*others, value, None)
+                        if sum(b - a for a, b in runs) > max_coverage * len(tokens):
+                            return None
+                        value, runs = without(value, runs), []
+                        if not single:
+                            return (*others, value, runs)  # not null: all shards look at it once more
+
+                return row
+
+            frame = materialise(map_rows(frame, make, schema), "decontaminated")
+            part = following
+        done = frame.where("_runs IS NULL")
+        settled = done if settled is None else settled.unionByName(done)
+        frame = frame.where("_runs IS NOT NULL")
+        if single or frame.isEmpty():
+            break
+    return settled.select(*(F.col("_raw").cast("string").alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns))

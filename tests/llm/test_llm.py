@@ -170,6 +170,20 @@ def test_decontamination(spark, odd, none):
     assert decontam.report(none, items).count() == 0
 
 
+def test_decontaminate_in_shards(spark, odd):
+    w = [f"v{i}" for i in range(60)]
+    items = [" ".join(w[:12]), " ".join(w[12:24]), " ".join(w[20:32]), " ".join(w[40:52])]
+    items = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    rows = [(30, w[:10] + ["x"] * 5 + w[40:50]),  # two fifths each of two items
+            (31, ["x"] * 30 + w[12:32] + ["y"] * 30),  # items that overlap
+            (32, ["x"] * 30 + w[:6] + w[40:52] + w[6:12] + ["y"] * 30),  # an earlier item arises when a later one is cut
+            (33, ["x"] * 30)]
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id bigint, text string"))
+    docs = materialise(docs, "sharded")
+    one, cut = ({(r.doc_id, r.text) for r in decontam.decontaminate(docs, items, shard_words=n).collect()} for n in (1000, 15))
+    assert one == cut and {k: t.split() for k, t in cut if k >= 30} == {k: ["x"] * 30 + ["y"] * 30 * (k < 33) for k in (31, 32, 33)}
+
+
 def test_long_repeats(spark, odd, none):
     rows = [(i, (t or "").encode()) for i, t in ODD]
     count = Counter(b[s:s + 400] for _, b in rows for s in range(len(b) - 399))
