@@ -142,6 +142,19 @@ def test_personal_data(spark, odd, none):
     assert pii.report(none).count() == 0
 
 
+def test_personal_data_in_other_forms(spark):
+    rng = np.random.default_rng(2)
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    rows = [(i, f"plain words here, mail me at user{i}@host{i}.com or call +1 {rng.integers(200, 999)} {digits(3)} {digits(4)} or pay by card "
+                f"4111 1111 1111 1111 on 20{i % 90 + 10}-03-0{i % 9 + 1} for 12{digits(6)}.50 under number {digits(12)} as said") for i in range(200)]
+    rows += [(900, "please mail me at jane.roe at example dot org today"), (901, "or call 1 555 010 9999 today"), (902, "pay by card 4111/1111/1111/1111 now"),
+             (910, "it was on 2021-03-04 12 in all"), (911, "under number 4111/1111/1111/1112 as said"), (912, "the sum is 123456789.50 in all")]
+    docs = materialise(spark.createDataFrame(rows, "doc_id bigint, text string"), "other-forms")
+    got = {r.doc_id: r.spans for r in pii.report(docs).where("doc_id >= 900").collect()}
+    assert [got[k].split(":")[0] for k in (900, 901, 902)] == ["email", "phone", "card"]
+    assert got[910] == got[911] == got[912] == ""
+
+
 def test_urls(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://WWW.Example.com/en/1"), (4, "https://a.example.com/en/2?q=1"), (5, "http://x.net/es/1"),
             (6, "http://x.net"), (7, "http://x.net/es/1"), (8, "ftp://x.org/fr/#a")] + [(10 + i, f"http://bad{i}.spam.net/fr/{i}") for i in range(20)]
