@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from kerbwatch.session import materialise, ship_package, work_path
 
-__all__ = ["documents", "held_out", "map_rows", "materialise", "raw", "table", "work_path"]
+__all__ = ["documents", "held_out", "look_up", "map_rows", "materialise", "raw", "table", "work_path"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,3 +53,21 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple | None]], sch
                     yield pa.RecordBatch.from_arrays(columns, schema=target)
 
     return df.mapInArrow(body, schema)
+
+
+#: Rows that a broadcast of heavy groups may have, whatever the size of the input.
+HEAVY = 10_000
+
+
+def look_up(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` with the columns of their group (inner join on ``keys``), without a hot key in one task.
+
+    ``size`` counts a group's rows and ``total`` all rows, so at most ``HEAVY`` groups are larger than ``total / HEAVY``:
+    these are broadcast, and the rest, where no group is larger than that share, is joined by shuffle.
+    """
+    share = total // HEAVY
+    heavy, usual = groups.where(F.col(size) > share), groups.where(F.col(size) <= share)
+    if share == 0:
+        return rows.join(groups, keys)
+    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(heavy), keys).unionByName(rest.join(usual, keys))

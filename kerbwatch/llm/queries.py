@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbwatch.llm import chat, decontam, langid, longdup, pieces, pii, prints, simhash, toxicity, urls
+from kerbwatch.llm import chat, decontam, exactdup, langid, longdup, pieces, pii, prints, simhash, toxicity, urls
 from kerbwatch.llm.common import documents, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,15 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longdup.report(documents(spark, sf_dir))
+
+
+@query
+def op13_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.report(documents(spark, sf_dir))
+
+
+SQL["op13_exact_duplicates"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+  sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
