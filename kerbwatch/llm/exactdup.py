@@ -5,7 +5,7 @@ remainder. Every task files its fingerprints in one filter for each shard: a run
 quotient, in slots found by linear probing, with an ``occupied`` bit per quotient, a ``run end`` bit per slot, and
 further slots holding the digits of counts above one. Filters give back their fingerprints and counts without
 loss, so those of a shard are merged by their sorted remainders. Fingerprints counted once are unique texts and
-never meet a shuffle; all others, by way of a bitmap of fixed size, send their rows to the comparison of whole texts.
+never meet a shuffle; all others, by way of a bitmap of bounded size, send their rows to the comparison of whole texts.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from kerbwatch.session import ship_package
 BITS = 40
 #: Fingerprints of a shard and fingerprints that a task holds before it writes filters, about.
 SHARD, HELD = 1 << 18, 1 << 21
-#: Leading bits by which rows are sent to the byte comparison: a bitmap of 2 ** 26 bits is 8 MB at most.
-ROUTE = 26
+#: Most leading bits by which rows are sent to the byte comparison: a bitmap of 2 ** 28 bits is 32 MB.
+ROUTE = 28
 _PAGE = 15
 
 
@@ -157,15 +157,15 @@ def repeated(whole: DataFrame, shard_bits: int) -> DataFrame:
     return whole.select("shard", "filter").mapInArrow(body, "top bigint, n bigint")
 
 
-def _place(top: Column, bits: int) -> tuple[Column, Column]:
-    """Page and bit of a fingerprint's leading ``bits`` in the bitmap."""
-    place = F.shiftrightunsigned(top, bits - ROUTE)
+def _place(top: Column, bits: int, route: int) -> tuple[Column, Column]:
+    """Page and bit in a bitmap over ``route`` bits of a fingerprint whose leading ``bits`` are given."""
+    place = F.shiftrightunsigned(top, bits - route)
     return F.shiftright(place, _PAGE).alias("page"), place.bitwiseAND((1 << _PAGE) - 1).alias("bit")
 
 
-def _routed(rows: DataFrame, bitmap: DataFrame) -> DataFrame:
-    """``rows`` with ``often``: whether the bitmap has their fingerprint ``h``. The bitmap has 2 ** 11 pages at most."""
-    page, bit = _place(F.col("h"), 64)
+def _routed(rows: DataFrame, bitmap: DataFrame, route: int) -> DataFrame:
+    """``rows`` with ``often``: whether the bitmap has their fingerprint ``h``. It has 2 ** (ROUTE - 15) pages at most."""
+    page, bit = _place(F.col("h"), 64, route)
     rows = rows.select("*", page, bit).join(F.broadcast(bitmap), "page", "left")
     byte = F.conv(F.hex(F.expr("substring(bits, bit div 8 + 1, 1)")), 16, 10).cast("bigint")
     return rows.withColumn("often", F.coalesce(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1, F.lit(False))) \
@@ -191,15 +191,16 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text",
     total = slim.count()
     shard_bits = max(0, -(-total // SHARD) - 1).bit_length()
     whole = materialise(merged(filters(slim, shard_bits)), "quotient-filters")
-    page, bit = _place(F.col("top"), shard_bits + BITS)
+    route = min(ROUTE, max(_PAGE, total.bit_length() + 2))  # a row in eight, or fewer, is sent without need
+    page, bit = _place(F.col("top"), shard_bits + BITS, route)
     bitmap = repeated(whole, shard_bits).select(page, bit).groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits"))
     bitmap = materialise(bitmap, "repeated-prints")
 
-    sent = _routed(texts.withColumn("h", fingerprint(F.col("value"))), bitmap).where("often")
+    sent = _routed(texts.withColumn("h", fingerprint(F.col("value"))), bitmap, route).where("often")
     # the byte comparison: one group for each whole text, combined before the shuffle
     same = sent.groupBy("h", "value").agg(F.count("*").alias("n"))
     same = same.select("h", F.sha2("value", 256).alias("sha"), "n").groupBy("h", "sha").agg(F.max("n").alias("bytes_n"))
-    rows = materialise(_routed(slim, bitmap), "routed-prints")
+    rows = materialise(_routed(slim, bitmap, route), "routed-prints")
     best = F.struct(F.col("key").isNotNull().alias("own"), "key", (-F.col("row")).alias("row"))
     groups = rows.where("often").groupBy("h", "sha").agg(F.count("*").alias("n"), F.max(best).alias("best"))
     # rows meet their group by SHA-256; should two texts ever share it, their byte groups are smaller than it
