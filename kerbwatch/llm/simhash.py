@@ -272,6 +272,35 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", width:
     return fps.join(member, "fp").select(key, "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 4, budget: int = 4) -> DataFrame:
+    """One row of ``docs`` for every group of near-duplicates, with all its columns.
+
+    The row with the smallest key stays, null keys last, ties by the XXH64 of the text; of rows that repeat in both any
+    one. Rows without words are one group. Columns travel as one struct, so no name can clash.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(F.coalesce(raw(text), F.lit(b""))).alias("th"),
+                       raw(text).alias("raw"))
+
+    def make():
+        return lambda k, th, t: (k, th, fingerprint(t, width))
+
+    fps = materialise(map_rows(rows.select("key", "th", "raw"), make, f"key {kind}, th bigint, fp bigint"), "fingerprints")
+    distinct = materialise(fps.select("fp").distinct(), "distinct-fingerprints")
+    roots = materialise(components(materialise(links(distinct, budget), "trie-links")), "roots")
+    own = F.struct(F.col("key").isNull().alias("no"), F.col("key").alias("id"), "th")
+    # the least row of each fingerprint, then of each group: no group is gathered
+    least = fps.groupBy("fp").agg(F.min(own).alias("own"))
+    least = least.join(roots, least.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("own").alias("own"))
+    kept = least.select(F.col("own.id").alias("k"), F.col("own.th").alias("h"))
+    same = [F.col("th") == F.col("h"), F.col("key").eqNullSafe(F.col("k"))]
+    times = fps.join(kept, same, "left_semi").groupBy(F.col("key").alias("k"), F.col("th").alias("h")).agg(F.count("*").alias("times"))
+    times = materialise(times, "kept-rows")
+    single = rows.join(times.where("times = 1"), same, "left_semi")
+    tied = rows.join(times.where("times > 1"), same, "left_semi").groupBy("key", "th").agg(F.first("row").alias("row"))
+    return single.select("row.*").unionByName(tied.select("row.*"))
+
+
 def hexed(fp: str):
     """Sixteen lowercase hexadecimal digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

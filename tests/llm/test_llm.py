@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from kerbwatch.llm import alike, chat, decontam, langid, longdup, pieces, pii, prints, queries, simhash, toxicity, urls
+from kerbwatch.llm import chat, decontam, langid, longdup, pieces, pii, prints, queries, simhash, toxicity, urls
 from kerbwatch.session import materialise
 from tests.conftest import SMALL
 
@@ -280,32 +280,33 @@ def test_fingerprints(spark, odd, none):
     assert prints.report(none).count() == 0
 
 
-def test_near_copies_against_brute_force(spark):
+def test_one_of_each_near_group_against_brute_force(spark, odd, none):
     rng = np.random.default_rng(5)
     rows = []
-    for g in range(30):
-        base = [f"w{x}" for x in rng.integers(0, 4000, 120)]
-        for k in range(6):
+    for g in range(25):
+        base = [f"w{x}" for x in rng.integers(0, 4000, 150)]
+        for k in (0, 0, 1, 1, 30):
             copy = list(base)
-            for at in rng.integers(0, 120, k):  # an edit changes up to five shingles
+            for at in rng.integers(0, 150, k):
                 copy[at] = f"new{rng.integers(0, 4000)}"
             rows.append((len(rows) + 1, " ".join(copy)))
-    rows += [(None, "alone and without an id at all"), (1, "another text under an id that is taken"), (None, None), (900, "")]
-    docs = materialise(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), "near-copies")
-    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").split()) else set() for _, t in rows]
+    rows += [(None, rows[0][1]), (None, "alone and without an id at all"), (1, "another text under an id that is taken"), (None, None), (900, ""), rows[4], rows[4]]
+    docs = spark.createDataFrame([(*r, 1, "a", "b") for r in rows], "doc_id bigint, text string, fp int, th string, root string").repartition(4)
+    docs = materialise(docs, "near-copies")
+    fps = [plain_fingerprint(t, 4) for _, t in rows]
     label = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
-            if len(sets[i] & sets[j]) * 5 >= 4 * len(sets[i] | sets[j]):
+            if bin(fps[i] ^ fps[j]).count("1") <= 4:
                 label = [label[j] if x == label[i] else x for x in label]
-    want = {}
-    for (k, t), x in zip(rows, label):
-        own = (k is None, k or 0, t or "")
-        want[x] = min(want.get(x, own), own)
-    got = corpus_pipeline.one_of_each_group(spark, docs, SMALL).collect()
-    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got) == sorted(want.values())
-    assert 30 < len(want) < len(rows) - 30
-    assert alike.one_of_each(docs.where("doc_id < 0")).count() == 0
+    least = {x: min((k is None, k or 0) for (k, _), y in zip(rows, label) if x == y) for x in label}
+    got = simhash.one_of_each(docs)
+    assert got.columns == docs.columns
+    name = {(k, t or ""): x for (k, t), x in zip(rows, label)}
+    kept = [(name[r.doc_id, r.text or ""], (r.doc_id is None, r.doc_id or 0)) for r in got.collect()]
+    assert sorted(kept) == sorted(least.items()) and 30 < len(kept) < len(rows) - 30
+    assert sorted(map(str, corpus_pipeline.one_of_each_group(spark, docs, SMALL).collect())) == sorted(map(str, got.collect()))
+    assert simhash.one_of_each(none).count() == 0 and simhash.one_of_each(odd).columns == odd.columns
 
 
 def test_pipeline(spark):
