@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbwatch.llm import alike, decontam, langid, pieces, pii
+from kerbwatch.llm import decontam, langid, pieces, pii, simhash
 from kerbwatch.llm.common import materialise, table
 
-WIDTH = 5
+WIDTH, BUDGET = 4, 4
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,8 +21,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near-duplicates (five-word shingles, Jaccard 0.8 or more)."""
-    return alike.one_of_each(docs, width=WIDTH)
+    """The document with the smallest id of every group of near-duplicates (SimHash of four-word shingles, four bits)."""
+    return simhash.one_of_each(docs, width=WIDTH, budget=BUDGET)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
