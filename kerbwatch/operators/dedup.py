@@ -7,14 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbwatch.operators import fold, rules
+from kerbwatch.operators import fold, pointers, rules
+from kerbwatch.session import materialise
 
 
 def cooldown(reports: DataFrame, seconds: float = rules.COOLDOWN, keys: Sequence[str] = ("camera_id", "track_id"),
-             order: Sequence[str] = ("ts_sec", "det_id"), **chunks) -> DataFrame:
-    """Reports at least ``seconds`` after the last *kept* report of their key (order columns and keys)."""
-    return fold.run_rule(reports, rules.Cooldown(seconds), keys, order, [c for c in order if c not in keys],
-                         **chunks).drop("kept")
+             order: Sequence[str] = ("ts_sec", "det_id"), time: str = "ts_sec", width: float | None = None) -> DataFrame:
+    """Reports at least ``seconds`` after the last *kept* report of their key (order columns and keys).
+
+    Of reports of one moment the first in ``order`` counts. Reports without a time take no part. ``width`` is the length of
+    an order bucket (default: 300 times ``seconds``); the result does not depend on it.
+    """
+    keys, kept = list(keys), [c for c in order if c not in keys]
+    timed = reports.where(F.col(time).isNotNull()).withColumn("_at", F.col(time).cast("double"))
+    if seconds <= 0:
+        return timed.select(*keys, *kept)
+    first = F.min(F.struct(*kept)).alias("_row")
+    moments = materialise(timed.groupBy(*keys, "_at").agg(first), "moments")
+    chain = pointers.kept_moments(moments.select(*keys, "_at"), keys, seconds, 300 * seconds if width is None else width)
+    return pointers.same_keys(moments, chain, [*keys, "_at"], "left_semi").select(*keys, "_row.*")
 
 
 def without_repeats(reports: DataFrame, seconds: float = rules.REPEAT_SECONDS,

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbwatch.functions import geometry as g
-from kerbwatch.operators import dedup, fold, rules, select, tracking
-from kerbwatch.operators.prefix import split_hot, with_last_value
+from kerbwatch.operators import dedup, fold, rules, select, tracking, transitions
+from kerbwatch.operators.prefix import with_last_value
 from kerbwatch.sources import config
 
 MIN_CONF = 0.4
-HOT_TRACK_ROWS = 1_000_000
 
 
 def lane_of(lane_lines: Column, px: Column, py: Column) -> Column:
@@ -127,44 +126,20 @@ def line_crossings(dets: DataFrame, n_lines: int, keys: Sequence[str] = ("camera
             .drop("_hits", "_hit", *(f"_p{i}" for i in range(n_lines))))
 
 
-def checked_crossings(dets: DataFrame, n_lines: int, frames: DataFrame | None = None,
-                      keys: Sequence[str] = ("camera_id", "track_id"), hot_rows: int = HOT_TRACK_ROWS,
+def checked_crossings(dets: DataFrame, frames: DataFrame | None = None, keys: Sequence[str] = ("camera_id", "track_id"),
                       **chunks) -> DataFrame:
     """Crossings as the sequential checker reports them, for rows that already carry a track.
 
     The first sighting only records sides; a frame reports at most one line, and the lines after it keep
-    their old side for one more sighting; a track missing from a frame starts over. All of this is
-    expressible with windows over (camera, track): a line's remembered side is its last side among the
-    sightings in which no earlier line fired. Tracks too long for one task go through the chunked rule.
+    their old side for one more sighting; a track missing from a frame starts over. Tracks are cut into time
+    chunks whose transitions are composed (see ``transitions``).
 
     ``frames`` lists the frames the camera delivered (default: those with rows in ``dets``).
     """
-    keys = list(keys)
     numbered = tracking.frame_index(dets if frames is None else frames)
-    usual, hot = split_hot(dets, keys, hot_rows)
-    usual = usual.join(numbered, ["camera_id", "frame_number"])
-    track = Window.partitionBy(*keys).orderBy("frame_number")
-    out = usual.withColumn("_stay", F.col("frame_index") - F.row_number().over(track))
-    stay = Window.partitionBy(*keys, "_stay").orderBy("frame_number")
-    past = stay.rowsBetween(Window.unboundedPreceding, -1)
-    out = out.withColumn("_n", F.row_number().over(stay)).withColumn("_done", F.lit(-1))
-    for i in range(n_lines):
-        # _done is the line that fired in this sighting; lines after it were not looked at
-        remembered = F.last(F.when(F.col("_done") < 0, _side(i)), ignorenulls=True).over(past)
-        out = out.withColumn(f"_p{i}", remembered)
-        fires = _crossing(i, F.col(f"_p{i}"), (F.col("_n") > 1) & (F.col("_done") < 0))
-        out = out.withColumn("_done", F.when(fires, F.lit(i)).otherwise(F.col("_done")))
-    out = out.where(F.col("_done") >= 0)
-    before = F.element_at(F.array(*(F.col(f"_p{i}") for i in range(n_lines))), F.col("_done") + 1)
-    after = F.when(F.upper(F.substring("sides", F.col("_done") + 1, F.lit(1))) == "L", -1).otherwise(1)
-    out = out.select(*keys, "frame_number", "det_id", "ts_sec", F.col("_done").alias("line_id"),
-                     g.side_name(before).alias("from_side"), g.side_name(after).alias("to_side"))
-    if hot is None:
-        return out
-    kept = ["frame_number", "det_id"] + [c for c in ("ts_sec",)]
-    hot = hot.join(numbered, ["camera_id", "frame_number"])
-    checked = fold.run_rule(hot, rules.LaneCheck(), keys, ["frame_number"], [c for c in kept if c not in keys], **chunks)
-    return out.unionByName(checked, allowMissingColumns=True).select(*out.columns)
+    rows = dets.join(numbered, ["camera_id", "frame_number"])
+    kept = [c for c in ("frame_number", "det_id", "ts_sec") if c not in keys]
+    return transitions.checked(rows, keys, kept, **chunks).select(*keys, *kept, "line_id", "from_side", "to_side")
 
 
 def lane_inputs(dets: DataFrame, cfg: DataFrame, min_conf: float = MIN_CONF,
@@ -198,5 +173,5 @@ def lane_violations_on_tracks(dets: DataFrame, cfg: DataFrame, min_conf: float =
     """The lane rule for detections that already carry ``track_id``."""
     rows, n_lines = lane_inputs(dets, cfg, min_conf, classes), config.most_lines(cfg)
     found = checked_crossings(rows, n_lines, config.lane_configured(dets, cfg))
-    kept = dedup.cooldown(found, order=("ts_sec", "det_id"), **chunks)
+    kept = dedup.cooldown(found, order=("ts_sec", "det_id"))
     return found.join(kept, ["camera_id", "track_id", "ts_sec", "det_id"], "left_semi")

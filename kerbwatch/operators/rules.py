@@ -128,26 +128,6 @@ def cross(remembered: str | None, sides: str) -> tuple[str, tuple[int, str, str]
     return "".join(kept), None
 
 
-class LaneCheck(Rule):
-    """Solid-line crossing for rows that already carry a track: key is (camera, track)."""
-
-    inputs = ("sides", "frame_index")
-    outputs = "line_id int, from_side string, to_side string"
-
-    def load(self, slots):
-        (self.sides, self.index) = slots[0][0] if slots else (None, None)
-
-    def slots(self, now):
-        return [([self.sides, self.index], now, 0)] if self.sides is not None else []
-
-    def row(self, now, sides, frame_index):
-        if self.index is not None and frame_index != self.index + 1:
-            self.sides = None
-        self.index = frame_index
-        self.sides, crossed = cross(self.sides, sides)
-        return crossed
-
-
 class RedLightWatch(Tracker):
     """Tracking and red-light crossing in one pass; a track is reported once.
 

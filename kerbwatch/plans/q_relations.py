@@ -210,7 +210,7 @@ SELECT camera_id, frame_number, track_id, CAST(line_id AS INT) AS line_id, CASE
             max(side) FILTER (line_id = 2) AS s2, max(distance) FILTER (line_id = 2) AS d2
           FROM sided GROUP BY ALL) a) b) c) e) f WHERE line_id IS NOT NULL"""))
 def _(spark, sf):
-    out = lanes.checked_crossings(_lane_rows(spark, sf), config.most_lines(d.camera_config(spark)), d.detections(spark, sf))
+    out = lanes.checked_crossings(_lane_rows(spark, sf), d.detections(spark, sf))
     return out.select("camera_id", "frame_number", "track_id", "line_id", "from_side", "to_side")
 
 
@@ -371,7 +371,7 @@ kept(camera_id, track_id, us) AS (
 SELECT v.camera_id, v.track_id, v.violation_id FROM kept JOIN v USING (camera_id, track_id, us)""", recursive=True).replace(")\n,", "),", 1))
 def _(spark, sf):
     rows = _timed(d.violations(spark, sf))
-    out = dedup.cooldown(rows, 43200.0, chunk_seconds=7 * 86400.0, warm_seconds=2 * 86400.0)
+    out = dedup.cooldown(rows, 43200.0)
     return out.select("camera_id", "track_id", F.col("det_id").alias("violation_id"))
 
 

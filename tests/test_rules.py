@@ -7,7 +7,7 @@ from itertools import groupby
 import pytest
 from pyspark.sql import functions as F
 
-from kerbwatch.operators import dedup, helmet, lanes, relate, rules, tracking
+from kerbwatch.operators import dedup, helmet, lanes, relate, rules, tracking, transitions
 from kerbwatch.sources import config
 from tests import folds
 
@@ -77,21 +77,39 @@ def test_frame_counter_that_starts_again(spark, chunk):
     assert [r.track_id for r in got.orderBy("det_id").collect()] == [1] * 4 + [2] * 4
 
 
-@pytest.mark.parametrize("chunks", CHUNKS)
-def test_cooldown(spark, chunks):
+@pytest.mark.parametrize("width", [None, 1.0, 7.5, 1e6])
+def test_cooldown(spark, width):
     rnd = random.Random(2)
     rows = [(c, k, round(i * 0.3 + rnd.random() * 0.01, 3), i) for i in range(120) for c, k in [("a", rnd.randrange(2))]]
     want = set()
     for key in (0, 1):
         want |= {(key, t) for t in folds.cooldown([r[2] for r in rows if r[1] == key], 3.0)}
     df = spark.createDataFrame(rows, "camera_id string, track_id bigint, ts_sec double, det_id bigint")
-    got = [(r.track_id, r.ts_sec) for r in dedup.cooldown(df, **chunks).collect()]
+    got = [(r.track_id, r.ts_sec) for r in dedup.cooldown(df, width=width).collect()]
     assert set(got) == want and len(got) == len(want)
     for key in (0, 1):
         times = sorted(t for k, t in got if k == key)
         assert all(b - a >= 3.0 for a, b in zip(times, times[1:]))
 
 
+def test_cooldown_of_long_and_odd_keys(spark):
+    rnd = random.Random(8)
+    schema = "camera_id string, track_id bigint, ts_sec double, det_id bigint, _at string"
+    rows = [("a", 1, 1.7e9 + i * 0.1, i, "x") for i in range(4000)]  # steps that floats cannot hold
+    rows += [("b", None, round(rnd.expovariate(1 / 3.0), 6), 5000 + i, "x") for i in range(300)] + [(None, 2, 5.0, 7000 + i, "x") for i in range(4)]
+    rows += [("a", 1, None, 9000, "x"), ("c", 1, 4.0, 9001, "x")]
+    want = []
+    for key in {r[:2] for r in rows}:
+        mine = sorted((t, i) for c, k, t, i, _ in rows if (c, k) == key and t is not None)
+        times = folds.cooldown([t for t, _ in mine], 3.0)
+        want += [(*key, t, min(i for u, i in mine if u == t)) for t in times]
+    df = spark.createDataFrame(rows, schema)
+    got = dedup.cooldown(df.drop("_at"), width=60.0).select("camera_id", "track_id", "ts_sec", "det_id").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert dedup.cooldown(df.where("false")).count() == 0
+    assert dedup.cooldown(df, seconds=0.0).count() == len(rows) - 1
+
+
 def test_cooldown_limit(spark):
     df = spark.createDataFrame([("a", 1, t, i) for i, t in enumerate((0.0, 2.9, 3.0))],
                                "camera_id string, track_id bigint, ts_sec double, det_id bigint")
@@ -121,6 +139,31 @@ def test_repeat_limits(spark, later, x, kept):
         assert (1 in {r.det_id for r in out.collect()}) is kept
 
 
+@pytest.mark.parametrize("seed", range(60))
+def test_transitions_of_random_chunks(seed):
+    rnd = random.Random(seed)
+    letters = [rnd.choice(["LRlr0", "LR", "-", "Ll0"]) for _ in range(rnd.randrange(1, 6))]
+    rows, index = [], 0
+    for _ in range(rnd.randrange(1, 40)):
+        index += 1 if rnd.random() < 0.9 else 2
+        rows.append((index, "".join(rnd.choice(x) for x in letters)))
+    memory, last, want = None, None, []
+    for i, sides in rows:
+        memory, crossed = rules.cross(memory if last is not None and i == last + 1 else None, sides)
+        last, want = i, want + ([(i, *crossed)] if crossed else [])
+    cuts = sorted({0, len(rows), *(rnd.randrange(len(rows)) for _ in range(rnd.randrange(6)))})
+    memory, last, got = None, None, []
+    for a, b in zip(cuts, cuts[1:]):
+        table, found = transitions.Table(), []
+        for i, sides in rows[a:b]:
+            found += [(n, (i, *crossed)) for n, crossed in table.sight(i, sides)]
+        goes_on = last is not None and table.first == last + 1
+        memory, path = transitions.chosen(table.branches(), memory if goes_on else None)
+        last = table.last
+        got += [c for n, c in found if n is None or n in path]
+    assert got == want
+
+
 LINES = [(100, 0, 120, 500, "solid"), (200, 0, 200, 500, "dashed"), (130, 0, 150, 500, "solid"), (300, 100, 300, 100, "solid")]
 
 
@@ -130,8 +173,8 @@ def lane_config(spark):
     return config.config_from_text(spark, text)
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 3])
-def test_crossings_on_tracks(spark, hot_rows):
+@pytest.mark.parametrize("chunk_seconds", [900.0, 12.0, 0.5])
+def test_crossings_on_tracks(spark, chunk_seconds):
     rows = traffic(4, frames=50, spread=300)
     want = set()
     for camera, frames in by_frame(rows):
@@ -144,7 +187,7 @@ def test_crossings_on_tracks(spark, hot_rows):
         last[(r[0], r[1], r[3] % 4)] = r
     df = spark.createDataFrame(list(last.values()), COLUMNS).withColumn("track_id", F.col("det_id") % 4)
     lettered = lanes.with_lane_sides(df, lane_config(spark))
-    got = lanes.checked_crossings(lettered, len(LINES), hot_rows=hot_rows, chunk_seconds=12.0).collect()
+    got = lanes.checked_crossings(lettered, chunk_seconds=chunk_seconds).collect()
     assert want and {(r.camera_id, r.frame_number, r.track_id, r.line_id) for r in got} == want
 
 
