@@ -135,3 +135,79 @@ def head_in(h: str, p: str) -> str:
 def strip(p: str, ratio: str = "0.4e0") -> str:
     """Head region of an alias as a subquery-ready column list."""
     return f"{p}.x, {p}.y, {p}.w, CAST(greatest(1, trunc({p}.h * {ratio})) AS INT) AS h"
+
+
+def tracked(source: str, reach: str = "100", ttl: str = "2") -> str:
+    """Views that track the rows of ``source`` one after the other; ``tracks`` has their global track_id and is_new.
+
+    Rows more than ``ttl`` seconds apart share no track, so the pieces between such pauses advance together.
+    """
+    order = "ts_sec, frame_number, det_id"
+    return f"""
+, paused AS (SELECT *, x + w / 2.0e0 AS cx, y + h / 2.0e0 AS cy,
+    ts_sec - lag(ts_sec) OVER (PARTITION BY camera_id ORDER BY {order}) AS gap FROM {source}),
+cut AS (SELECT *, sum(CASE WHEN gap <= {ttl} THEN 0 ELSE 1 END) OVER (PARTITION BY camera_id ORDER BY {order}) AS piece FROM paused),
+seq AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY camera_id, piece ORDER BY {order}) AS n FROM cut),
+walk AS (
+  SELECT camera_id, piece, n, det_id, frame_number, CAST(1 AS BIGINT) AS id, true AS is_new, CAST(1 AS BIGINT) AS used,
+    [{{'id': CAST(1 AS BIGINT), 'cx': cx, 'cy': cy, 't': ts_sec, 'f': frame_number}}] AS live FROM seq WHERE n = 1
+  UNION ALL
+  SELECT camera_id, piece, n, det_id, frame_number, CASE WHEN hit THEN best.id ELSE used + 1 END, NOT hit,
+    CASE WHEN hit THEN used ELSE used + 1 END,
+    CASE WHEN hit THEN list_transform(live, lambda k: CASE WHEN k.id = best.id
+        THEN {{'id': k.id, 'cx': cx, 'cy': cy, 't': ts_sec, 'f': frame_number}} ELSE k END)
+      ELSE list_append(live, {{'id': used + 1, 'cx': cx, 'cy': cy, 't': ts_sec, 'f': frame_number}}) END
+  FROM (SELECT *, coalesce(best.d <= {reach}, false) AS hit FROM (
+    SELECT *, list_sort(list_transform(list_filter(live, lambda k: k.f <> frame_number),
+        lambda k: {{'d': sqrt(pow(cx - k.cx, 2) + pow(cy - k.cy, 2)), 'id': k.id}}))[1] AS best FROM (
+      SELECT s.*, r.used, list_filter(r.live, lambda k: s.ts_sec - k.t <= {ttl}) AS live
+      FROM walk r JOIN seq s ON s.camera_id = r.camera_id AND s.piece = r.piece AND s.n = r.n + 1) a) b) c),
+named AS (SELECT camera_id, piece, id, row_number() OVER (PARTITION BY camera_id ORDER BY piece, n) AS track_id FROM walk WHERE is_new),
+tracks AS MATERIALIZED (SELECT s.*, named.track_id, walk.is_new FROM walk JOIN seq s USING (camera_id, piece, n)
+  JOIN named ON named.camera_id = walk.camera_id AND named.piece = walk.piece AND named.id = walk.id)"""
+
+
+def recursive(views: str, *parts: str) -> str:
+    """``parts`` (more views, each after a comma, then a query) under the named views."""
+    return sql_with(views, "", recursive=True).rstrip() + "".join(parts)
+
+
+#: Kept rows of ``reports`` (track_id, cx, cy): no kept row within 3 s shares their track or lies within 50 px.
+KEPT = """
+, gone AS (SELECT *, ts_sec - lag(ts_sec) OVER (PARTITION BY camera_id ORDER BY ts_sec, det_id) AS pause FROM reports),
+parted AS (SELECT *, sum(CASE WHEN pause < 3 THEN 0 ELSE 1 END) OVER (PARTITION BY camera_id ORDER BY ts_sec, det_id) AS part FROM gone),
+numbered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY camera_id, part ORDER BY ts_sec, det_id) AS n FROM parted),
+fold AS (
+  SELECT camera_id, part, n, true AS kept, [{'t': ts_sec, 'k': track_id, 'x': cx, 'y': cy}] AS recent FROM numbered WHERE n = 1
+  UNION ALL
+  SELECT camera_id, part, n, NOT seen, CASE WHEN seen THEN recent ELSE list_append(recent, {'t': ts_sec, 'k': track_id, 'x': cx, 'y': cy}) END
+  FROM (SELECT *, len(list_filter(recent, lambda r: r.k = track_id OR sqrt(pow(cx - r.x, 2) + pow(cy - r.y, 2)) < 50)) > 0 AS seen FROM (
+    SELECT s.*, list_filter(f.recent, lambda r: s.ts_sec - r.t < 3) AS recent
+    FROM fold f JOIN numbered s ON s.camera_id = f.camera_id AND s.part = f.part AND s.n = f.n + 1) a) b),
+kept_rows AS (SELECT s.* FROM numbered s JOIN fold f ON f.camera_id = s.camera_id AND f.part = s.part AND f.n = s.n AND f.kept)"""
+
+
+#: Lane rule on ``tracks`` (lines 0 and 2 of a camera are solid): first line crossed in a frame, reports of a track 3 s apart.
+LANE_WALK = """
+, ticks AS (SELECT camera_id, frame_number, dense_rank() OVER (PARTITION BY camera_id ORDER BY frame_number) AS idx
+  FROM (SELECT DISTINCT camera_id, frame_number FROM cl)),
+sides AS (SELECT camera_id, frame_number, det_id, any_value(threshold) AS threshold,
+    max(side) FILTER (line_id = 0) AS s0, max(distance) FILTER (line_id = 0) AS d0,
+    max(side) FILTER (line_id = 2) AS s2, max(distance) FILTER (line_id = 2) AS d2 FROM sided GROUP BY ALL),
+sights AS MATERIALIZED (SELECT t.*, idx, threshold, s0, d0, s2, d2, row_number() OVER (PARTITION BY camera_id, track_id ORDER BY idx) AS m
+  FROM tracks t JOIN ticks USING (camera_id, frame_number) JOIN sides USING (camera_id, frame_number, det_id)),
+watch AS (
+  SELECT camera_id, track_id, m, idx, nullif(s0, 0) AS p0, nullif(s2, 0) AS p2, CAST(NULL AS INT) AS line, CAST(NULL AS INT) AS was,
+    CAST(NULL AS INT) AS now, CAST(NULL AS DOUBLE) AS last, vehicle_type FROM sights WHERE m = 1
+  UNION ALL
+  SELECT camera_id, track_id, m, idx, CASE WHEN goes_on THEN coalesce(nullif(s0, 0), p0) ELSE nullif(s0, 0) END,
+    CASE WHEN NOT goes_on THEN nullif(s2, 0) WHEN f0 THEN p2 ELSE coalesce(nullif(s2, 0), p2) END,
+    CASE WHEN kept THEN hit END, CASE WHEN kept AND hit = 0 THEN p0 WHEN kept THEN p2 END, CASE WHEN kept AND hit = 0 THEN s0 WHEN kept THEN s2 END,
+    CASE WHEN kept THEN ts_sec ELSE last END, first_type
+  FROM (SELECT *, hit IS NOT NULL AND (last IS NULL OR ts_sec - last >= 3) AS kept FROM (
+    SELECT *, CASE WHEN f0 THEN 0 WHEN goes_on AND p2 <> s2 AND s2 <> 0 AND d2 < 2 * threshold THEN 2 END AS hit FROM (
+      SELECT *, coalesce(goes_on AND p0 <> s0 AND s0 <> 0 AND d0 < 2 * threshold, false) AS f0 FROM (
+        SELECT s.*, w.p0, w.p2, w.last, w.vehicle_type AS first_type, s.idx = w.idx + 1 AS goes_on
+        FROM watch w JOIN sights s ON s.camera_id = w.camera_id AND s.track_id = w.track_id AND s.m = w.m + 1) a) b) c) d)"""
+
+KIND = "CASE class_id WHEN 2 THEN 'car' WHEN 3 THEN 'motorcycle' WHEN 5 THEN 'bus' WHEN 7 THEN 'truck' END AS vehicle_type"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kerbwatch.functions import geometry as g
 from kerbwatch.operators import dedup, helmet, lanes, light, redlight, relate, tracking
 from kerbwatch.plans import derived as d
-from kerbwatch.plans.oracle import feet_in, head_in, iou, sql_with, strip
+from kerbwatch.plans.oracle import KEPT, KIND, LANE_WALK, feet_in, head_in, iou, recursive, sql_with, strip, tracked
 from kerbwatch.plans.registry import query, r6
 from kerbwatch.sources import config
 
@@ -51,7 +51,18 @@ def _(spark, sf):
     return relate.heads_to_persons(heads, persons)
 
 
-@query("d04_heads_to_persons_exact")
+@query("d04_heads_to_persons_exact", recursive("heads persons", f"""
+, wishes AS MATERIALIZED (SELECT h.camera_id, h.frame_number, h.det_id, list(p.det_id ORDER BY p.det_id) FILTER (p.det_id IS NOT NULL) AS fit,
+    row_number() OVER (PARTITION BY h.camera_id, h.frame_number ORDER BY h.det_id) AS n
+  FROM heads h LEFT JOIN persons p ON h.camera_id = p.camera_id AND h.frame_number = p.frame_number AND {head_in('h', 'p')}
+  GROUP BY h.camera_id, h.frame_number, h.det_id),
+walk AS (
+  SELECT camera_id, frame_number, n, det_id, fit[1] AS got, [fit[1]] AS used FROM wishes WHERE n = 1
+  UNION ALL
+  SELECT camera_id, frame_number, n, det_id, got, list_append(used, got) FROM (
+    SELECT s.*, w.used, list_filter(s.fit, lambda p: NOT coalesce(list_contains(w.used, p), false))[1] AS got
+    FROM walk w JOIN wishes s ON s.camera_id = w.camera_id AND s.frame_number = w.frame_number AND s.n = w.n + 1) a)
+SELECT camera_id, frame_number, det_id AS head_det_id, got AS person_det_id FROM walk"""))
 def _(spark, sf):
     persons, _, _, heads = _groups(spark, sf)
     return relate.assign_heads(heads, persons).drop("person")
@@ -81,7 +92,19 @@ def _(spark, sf):
         F.col("rider_rank").cast("bigint").alias("rider_rank"))
 
 
-@query("d06_riders_exact")
+@query("d06_riders_exact", recursive("persons bikes", f"""
+, wishes AS MATERIALIZED (SELECT v.camera_id, v.frame_number, v.det_id, list(p.det_id ORDER BY
+      {iou('p', 'v')} + CASE WHEN {feet_in('p', 'v')} THEN 0.1e0 ELSE 0.0e0 END DESC, p.det_id) AS fit,
+    row_number() OVER (PARTITION BY v.camera_id, v.frame_number ORDER BY v.det_id) AS n
+  FROM bikes v JOIN persons p ON p.camera_id = v.camera_id AND p.frame_number = v.frame_number
+    AND ({iou('p', 'v')} >= 0.15e0 OR {feet_in('p', 'v')}) GROUP BY v.camera_id, v.frame_number, v.det_id),
+walk AS (
+  SELECT camera_id, frame_number, n, det_id, fit[1:3] AS got, fit[1:3] AS used FROM wishes WHERE n = 1
+  UNION ALL
+  SELECT camera_id, frame_number, n, det_id, got, list_concat(used, got) FROM (
+    SELECT s.*, w.used, list_filter(s.fit, lambda p: NOT list_contains(w.used, p))[1:3] AS got
+    FROM walk w JOIN wishes s ON s.camera_id = w.camera_id AND s.frame_number = w.frame_number AND s.n = w.n + 1) a)
+SELECT camera_id, frame_number, det_id AS vehicle_det_id, unnest(got) AS person_det_id FROM walk"""))
 def _(spark, sf):
     persons, vehicles, _, _ = _groups(spark, sf)
     return relate.assign_riders(persons, vehicles).drop("wish", "person")
@@ -140,7 +163,20 @@ def _(spark, sf):
     return relate.weaker_overlaps(_boxes(spark, sf)).select(*ID)
 
 
-@query("g06_suppressed_boxes_exact")
+_OVER = ("greatest(0, least(s.x+s.w, k.x+k.w) - greatest(s.x, k.x)) * greatest(0, least(s.y+s.h, k.y+k.h) - greatest(s.y, k.y))")
+
+
+@query("g06_suppressed_boxes_exact", recursive("cl", f"""
+, strong AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY camera_id, frame_number ORDER BY conf DESC, det_id) AS n FROM cl WHERE conf > 0.5e0),
+walk AS (
+  SELECT camera_id, frame_number, n, true AS stays, [{{'x': x, 'y': y, 'w': w, 'h': h}}] AS kept FROM strong WHERE n = 1
+  UNION ALL
+  SELECT camera_id, frame_number, n, NOT hit, CASE WHEN hit THEN kept ELSE list_append(kept, {{'x': x, 'y': y, 'w': w, 'h': h}}) END FROM (
+    SELECT s.*, w.kept, len(list_filter(w.kept, lambda k: CAST({_OVER} AS DOUBLE)
+      / (s.w*s.h + k.w*k.h - {_OVER} + CAST(1e-9 AS DOUBLE)) > 0.4e0)) > 0 AS hit
+    FROM walk w JOIN strong s ON s.camera_id = w.camera_id AND s.frame_number = w.frame_number AND s.n = w.n + 1) a)
+SELECT s.camera_id, s.frame_number, s.det_id, round(s.conf, 6) AS conf
+FROM strong s JOIN walk w ON w.camera_id = s.camera_id AND w.frame_number = s.frame_number AND w.n = s.n AND stays"""))
 def _(spark, sf):
     return relate.suppress_overlaps(_boxes(spark, sf)).select(*ID, r6("conf").alias("conf"))
 
@@ -260,7 +296,13 @@ def _(spark, sf):
     return out.select("camera_id", "track_id", "frame_number")
 
 
-@query("i06_red_light_from_detections")
+@query("i06_red_light_from_detections", recursive("zoned light cfgs", f"""
+, moves AS (SELECT *, {KIND} FROM zoned WHERE class_id IN (2, 3, 5) AND conf >= 0.4e0)""", tracked("moves"), """
+SELECT camera_id, frame_number, ts_sec, det_id, x, y, w, h, track_id, first_type AS vehicle_type, 0.9e0 AS confidence FROM (
+  SELECT *, row_number() OVER (PARTITION BY camera_id, track_id ORDER BY frame_number, det_id) AS nth FROM (
+    SELECT t.*, first_value(vehicle_type) OVER (PARTITION BY t.camera_id, track_id ORDER BY t.frame_number) AS first_type, light_state, stop_y, direction
+    FROM tracks t LEFT JOIN light USING (camera_id, frame_number) JOIN cfgs ON cfgs.camera_id = t.camera_id) a
+  WHERE light_state = 'RED' AND CASE direction WHEN 'above' THEN y + h < stop_y ELSE y + h > stop_y END) b WHERE nth = 1"""))
 def _(spark, sf):
     return redlight.red_light_violations(_boxes(spark, sf), _scaled(spark), d.frame_light(spark, sf), classes=VEHICLES)
 
@@ -385,22 +427,36 @@ def _(spark, sf):
     return dedup.first_of_cluster(heads).select("camera_id", "ts_sec", "det_id")
 
 
-@query("d12_without_repeats_exact")
+REPEATS = recursive("cl", """
+, reports AS (SELECT *, x + w / 2.0e0 AS cx, y + h / 2.0e0 AS cy, det_id AS track_id FROM cl WHERE class_id = 7)""", KEPT)
+
+
+@query("d12_without_repeats_exact", REPEATS + "\nSELECT camera_id, ts_sec, det_id, track_id FROM kept_rows")
 def _(spark, sf):
     heads = tracking.with_centroid(_boxes(spark, sf).where("class_id = 7")).withColumn("track_id", F.col("det_id"))
     return dedup.without_repeats(heads)
 
 
-@query("i01_centroid_tracks")
+TRACKS = recursive("cl", ", moves AS (SELECT * FROM cl WHERE class_id IN (2, 3, 5))", tracked("moves"))
+
+
+@query("i01_centroid_tracks", TRACKS + "\nSELECT camera_id, frame_number, det_id, track_id, is_new FROM tracks")
 def _(spark, sf):
     return tracking.track(_boxes(spark, sf).where(F.col("class_id").isin(*VEHICLES)))
 
 
-@query("i02_i07_lane_violations")
+LANES = recursive("zoned sided", f"""
+, moves AS (SELECT *, {KIND} FROM zoned WHERE class_id IN (2, 3, 5) AND conf >= 0.4e0 AND camera_id IN (SELECT camera_id FROM lines))""",
+                  tracked("moves"), LANE_WALK)
+_SIDE = "CASE {} WHEN -1 THEN 'left' WHEN 1 THEN 'right' END"
+
+
+@query("i02_i07_lane_violations", LANES + f"""
+SELECT s.camera_id, s.frame_number, s.ts_sec, s.det_id, s.x, s.y, s.w, s.h, s.track_id, w.vehicle_type, w.line AS line_id,
+  {_SIDE.format('w.was')} AS from_side, {_SIDE.format('w.now')} AS to_side
+FROM watch w JOIN sights s ON s.camera_id = w.camera_id AND s.track_id = w.track_id AND s.m = w.m WHERE w.line IS NOT NULL""")
 def _(spark, sf):
-    # zones and lane lines of the derived cameras hardly overlap, so the zone is left open
-    cfg = _scaled(spark).withColumn("zone", F.array().cast("array<array<int>>"))
-    return lanes.lane_violations(_boxes(spark, sf), cfg, classes=VEHICLES)
+    return lanes.lane_violations(_boxes(spark, sf), _scaled(spark), classes=VEHICLES)
 
 
 @query("i05_helmet_candidates", sql_with("heads persons bikes", f"""

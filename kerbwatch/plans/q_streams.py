@@ -9,6 +9,7 @@ from kerbwatch.functions import geometry as g
 from kerbwatch.operators import helmet, redlight, rules, tracking
 from kerbwatch.plans import derived as d
 from kerbwatch.plans.oracle import sql_with
+from kerbwatch.plans.q_relations import REPEATS, TRACKS
 from kerbwatch.plans.registry import query
 from kerbwatch.session import materialise, work_path
 from kerbwatch.sources import config
@@ -123,14 +124,14 @@ def _(spark, sf):
     return _drained(out, "cooldown").select("camera_id", "track_id", "violation_id")
 
 
-@query("i01_tracks_stream")
+@query("i01_tracks_stream", TRACKS + "\nSELECT camera_id, frame_number, det_id, track_id, is_new FROM tracks")
 def _(spark, sf):
     rows = tracking.with_centroid(d.boxes(spark, sf).where("class_id IN (2, 3, 5)"))
     out = jobs.rule_stream(_as_stream(rows, "vehicles"), rules.Tracker(), ["camera_id"], tracking.ORDER, ["frame_number", "det_id"])
     return _drained(out, "tracks").drop("is_late")
 
 
-@query("i04_repeats_stream")
+@query("i04_repeats_stream", REPEATS + "\nSELECT camera_id, ts_sec, det_id FROM kept_rows")
 def _(spark, sf):
     heads = tracking.with_centroid(d.boxes(spark, sf).where("class_id = 7")).withColumn("track_id", F.col("det_id"))
     out = jobs.rule_stream(_as_stream(heads, "heads"), rules.Repeats(), ["camera_id"], ["ts_sec", "det_id"], ["ts_sec", "det_id"])
