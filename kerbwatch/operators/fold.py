@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from kerbwatch.operators.pointers import same_keys as _join_same
 from kerbwatch.session import materialise, ship_package
 
 CHUNK_SECONDS = 900.0
@@ -191,10 +192,12 @@ def run_rule(df: DataFrame, rule: Rule, keys: Sequence[str], order: Sequence[str
         F.struct(own.alias("_chunk"), F.lit(False).alias("_warm")),
         F.when(late & F.lit(warm_seconds > 0), F.struct((own + 1).alias("_chunk"), F.lit(True).alias("_warm")))))
     first_try = df.withColumn("_place", F.explode(places)).select("*", "_place.*").drop("_place")
-    result = materialise(scan(first_try.withColumn("_given", F.lit(None).cast(_MEMORY))), "rule", "_kind")
+    rounds = [materialise(scan(first_try.withColumn("_given", F.lit(None).cast(_MEMORY))), "rule", "_kind")]
+    ends, redone = rounds[0].where("_kind = 1"), None
 
+    # a round writes the chunks it runs again and nothing else
     while True:
-        bounds = _neighbours(result, keys, rule.memory)
+        bounds = _neighbours(ends, keys, rule.memory)
         wrong = bounds.where(_signature("_entry") != _signature("_inherited")).select(
             *keys, "_chunk", F.col("_inherited").alias("_given"))
         if not wrong.take(1):
@@ -202,32 +205,34 @@ def run_rule(df: DataFrame, rule: Rule, keys: Sequence[str], order: Sequence[str
         wrong = materialise(wrong, "rule-again")
         own_rows = df.withColumn("_chunk", own).withColumn("_warm", F.lit(False))
         again = _join_same(own_rows, wrong, [*keys, "_chunk"], "inner")
-        settled = _join_same(result, wrong.drop("_given"), [*keys, "_chunk"], "left_anti")
-        result = materialise(settled.unionByName(scan(again).select(*settled.columns)), "rule", "_kind")
-
-    rows = result.where("_kind = 0")
+        rounds.append(materialise(scan(again), "rule", "_kind"))
+        kept = _join_same(ends, wrong.drop("_given"), [*keys, "_chunk"], "left_anti")
+        ends = materialise(kept.unionByName(rounds[-1].where("_kind = 1")), "rule-ends")
+        new = wrong.select(*keys, "_chunk", F.lit(len(rounds) - 1).alias("_round"))
+        redone = new if redone is None else redone.unionByName(new)
+
+    rows = rounds[0].where("_kind = 0")
+    if redone is not None:
+        last = redone.groupBy(*keys, "_chunk").agg(F.max("_round").alias("_last"))
+        every = None
+        for n, table in enumerate(rounds):
+            part = table.where("_kind = 0").withColumn("_round", F.lit(n))
+            every = part if every is None else every.unionByName(part)
+        rows = _join_same(every, last, [*keys, "_chunk"], "left").where("coalesce(_last, 0) = _round").drop("_last", "_round")
     names = [*keys, *keep, *(f.name for f in out_fields)]
     if new_id is None:
         return rows.select(*names)
     return resolve_ids(rows, bounds, keys, new_id).select(*names)
 
 
-def _join_same(left: DataFrame, right: DataFrame, names: Sequence[str], how: str) -> DataFrame:
-    """Equi-join that also matches null keys and keeps the left names."""
-    renamed = right.select(*(F.col(n).alias(f"_k_{n}") for n in names),
-                           *(c for c in right.columns if c not in names))
-    joined = left.join(renamed, [F.col(n).eqNullSafe(F.col(f"_k_{n}")) for n in names], how)
-    return joined.drop(*(f"_k_{n}" for n in names))
-
-
 def _signature(name: str) -> Column:
     return F.transform(name, lambda s: s.getField("sig"))
 
 
-def _neighbours(result: DataFrame, keys: Sequence[str], memory: float) -> DataFrame:
+def _neighbours(ends: DataFrame, keys: Sequence[str], memory: float) -> DataFrame:
     """One row per chunk with what its predecessor left behind, as of the chunk's first row."""
     by_time = Window.partitionBy(*keys).orderBy("_chunk")
-    bounds = result.where("_kind = 1").select(
+    bounds = ends.select(
         *keys, "_chunk", "_t0", "_entry", "_exit", "_new",
         F.lag("_exit").over(by_time).alias("_left"), F.lag("_chunk").over(by_time).alias("_before"),
         F.coalesce(F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbwatch.functions import geometry as g
-from kerbwatch.operators import fold, rules
+from kerbwatch.operators import cuts, fold, rules
+from kerbwatch.operators.pointers import same_keys
 from kerbwatch.operators.prefix import with_previous, with_running_sum
+from kerbwatch.session import materialise
 
 ORDER = ("frame_number", "det_id")
 FRAMES_PER_BUCKET = 50_000
@@ -22,9 +24,20 @@ def with_centroid(dets: DataFrame) -> DataFrame:
 
 def track(dets: DataFrame, max_distance: float = rules.VEHICLE_DISTANCE, ttl: float = rules.VEHICLE_TTL,
           **chunks) -> DataFrame:
-    """Exact per-camera centroid tracking: (camera, frame, det_id) with track_id and is_new."""
-    return fold.run_rule(with_centroid(dets), rules.Tracker(max_distance, ttl), ["camera_id"], ORDER,
-                         ["frame_number", "det_id"], new_id="track_id", **chunks)
+    """Exact per-camera centroid tracking: (camera, frame, det_id) with track_id and is_new.
+
+    Pieces of a camera that no track can connect (see ``cuts``) are tracked apart. Tracks are numbered per camera in
+    order of their first box. Boxes without a place or time are left out.
+    """
+    points = with_centroid(dets).where("cx IS NOT NULL AND cy IS NOT NULL AND ts_sec IS NOT NULL")
+    points = cuts.with_piece(points.select("camera_id", "frame_number", "det_id", "ts_sec", "cx", "cy"), ["camera_id"], max_distance, ttl)
+    found = fold.run_rule(points, rules.Tracker(max_distance, ttl), ["camera_id", "_piece"], ORDER,
+                          ["frame_number", "det_id", "ts_sec"], new_id="track_id", **chunks)
+    found = materialise(found, "tracks")
+    first = with_running_sum(found.where("is_new"), ["camera_id"], ["ts_sec", *ORDER], "_number", F.lit(1), 3600.0)
+    own = ["camera_id", "_piece", "track_id"]
+    numbered = same_keys(found, first.select(*own, "_number"), own, "inner")
+    return numbered.select("camera_id", "frame_number", "det_id", F.col("_number").alias("track_id"), "is_new")
 
 
 def first_type(dets: DataFrame, keys: Sequence[str] = ("camera_id", "track_id"), value: str = "vehicle_type",
