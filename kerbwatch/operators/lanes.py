@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from kerbwatch.functions import geometry as g
 from kerbwatch.operators import dedup, fold, rules, select, tracking, transitions
+from kerbwatch.operators.pointers import same_keys
 from kerbwatch.operators.prefix import with_last_value
+from kerbwatch.session import materialise
 from kerbwatch.sources import config
 
 MIN_CONF = 0.4
@@ -127,18 +129,19 @@ def line_crossings(dets: DataFrame, n_lines: int, keys: Sequence[str] = ("camera
 
 
 def checked_crossings(dets: DataFrame, frames: DataFrame | None = None, keys: Sequence[str] = ("camera_id", "track_id"),
-                      **chunks) -> DataFrame:
+                      extra: Sequence[str] = (), **chunks) -> DataFrame:
     """Crossings as the sequential checker reports them, for rows that already carry a track.
 
     The first sighting only records sides; a frame reports at most one line, and the lines after it keep
     their old side for one more sighting; a track missing from a frame starts over. Tracks are cut into time
     chunks whose transitions are composed (see ``transitions``).
 
-    ``frames`` lists the frames the camera delivered (default: those with rows in ``dets``).
+    ``frames`` lists the frames the camera delivered (default: those with rows in ``dets``); ``extra`` columns of the
+    sighting come along.
     """
     numbered = tracking.frame_index(dets if frames is None else frames)
     rows = dets.join(numbered, ["camera_id", "frame_number"])
-    kept = [c for c in ("frame_number", "det_id", "ts_sec") if c not in keys]
+    kept = [c for c in ("frame_number", "det_id", "ts_sec", *extra) if c not in keys]
     return transitions.checked(rows, keys, kept, **chunks).select(*keys, *kept, "line_id", "from_side", "to_side")
 
 
@@ -171,7 +174,8 @@ def lane_violations(dets: DataFrame, cfg: DataFrame, min_conf: float = MIN_CONF,
 def lane_violations_on_tracks(dets: DataFrame, cfg: DataFrame, min_conf: float = MIN_CONF,
                               classes: Iterable[int] = tuple(g.ROAD_VEHICLES), **chunks) -> DataFrame:
     """The lane rule for detections that already carry ``track_id``."""
-    rows, n_lines = lane_inputs(dets, cfg, min_conf, classes), config.most_lines(cfg)
-    found = checked_crossings(rows, n_lines, config.lane_configured(dets, cfg))
+    rows = lane_inputs(dets, cfg, min_conf, classes)
+    found = materialise(checked_crossings(rows, config.lane_configured(dets, cfg), extra="xywh", **chunks), "crossings")
     kept = dedup.cooldown(found, order=("ts_sec", "det_id"))
-    return found.join(kept, ["camera_id", "track_id", "ts_sec", "det_id"], "left_semi")
+    found = same_keys(found, kept, ["camera_id", "track_id", "ts_sec", "det_id"], "left_semi")
+    return same_keys(found, tracking.first_type(rows), ["camera_id", "track_id"], "left")

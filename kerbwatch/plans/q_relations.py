@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kerbwatch.functions import geometry as g
-from kerbwatch.operators import dedup, helmet, lanes, light, redlight, relate, tracking
+from kerbwatch.operators import dedup, helmet, lanes, light, records, redlight, relate, tracking
 from kerbwatch.plans import derived as d
 from kerbwatch.plans.oracle import KEPT, KIND, LANE_WALK, feet_in, head_in, iou, recursive, sql_with, strip, tracked
 from kerbwatch.plans.registry import query, r6
@@ -459,6 +459,129 @@ def _(spark, sf):
     return lanes.lane_violations(_boxes(spark, sf), _scaled(spark), classes=VEHICLES)
 
 
+ON_TRACKS = recursive("zoned sided", f"""
+, moves AS (SELECT *, {KIND} FROM zoned WHERE class_id IN (2, 3, 5) AND conf >= 0.4e0 AND camera_id IN (SELECT camera_id FROM lines)),
+tracks AS (SELECT *, det_id AS track_id FROM moves)""", LANE_WALK)
+_LANE_ROWS = f"""
+SELECT s.camera_id, s.track_id, s.frame_number, s.det_id, s.ts_sec, s.x, s.y, s.w, s.h, w.line AS line_id, {_SIDE.format('w.was')} AS from_side,
+  {_SIDE.format('w.now')} AS to_side, w.vehicle_type
+FROM watch w JOIN sights s ON s.camera_id = w.camera_id AND s.track_id = w.track_id AND s.m = w.m WHERE w.line IS NOT NULL"""
+
+
+def _on_tracks(spark, sf):
+    return _boxes(spark, sf).withColumn("track_id", F.col("det_id"))
+
+
+@query("i07_lane_violations_on_tracks", ON_TRACKS + _LANE_ROWS)
+def _(spark, sf):
+    return lanes.lane_violations_on_tracks(_on_tracks(spark, sf), _scaled(spark), classes=VEHICLES)
+
+
+# ---------------------------------------------------------------- records and messages
+
+
+_ID = """md5(concat_ws('|', camera_id, track_id, frame_number, '{kind}'))"""
+_UUID = "concat_ws('-', substring(hash, 1, 8), substring(hash, 9, 4), substring(hash, 13, 4), substring(hash, 17, 4), substring(hash, 21, 12))"
+_STAMPED = """SELECT *, make_timestamp(CAST(round(ts_sec * 1e6) AS BIGINT)) AS moment, {uuid} AS violation_id
+  FROM (SELECT *, {ident} AS hash FROM ({rows}) r) q"""
+_PATH = "'{folder}/{prefix}_' || camera_id || '_' || strftime(moment, '%Y%m%d_%H%M%S') || '_' || substring(violation_id, 1, 8) || '.jpg'"
+
+
+def _stamped(rows: str, kind: str) -> str:
+    return _STAMPED.format(uuid=_UUID, ident=_ID.format(kind=kind), rows=rows)
+
+
+_RED_ROWS = """SELECT z.*, first_type AS vehicle_type, stop_y, direction FROM (
+    SELECT t.*, first_value(t.kind) OVER w AS first_type, row_number() OVER w AS n FROM (
+      SELECT c.camera_id, c.det_id AS track_id, c.frame_number, c.ts_sec, x, y, w, h, stop_y, direction,
+        CASE class_id WHEN 2 THEN 'car' WHEN 3 THEN 'motorcycle' ELSE 'bus' END AS kind
+      FROM zoned c JOIN light l USING (camera_id, frame_number) JOIN cfgs ON cfgs.camera_id = c.camera_id
+      WHERE class_id IN (2, 3, 5) AND conf >= 0.4e0 AND light_state = 'RED'
+        AND CASE direction WHEN 'above' THEN y + h < stop_y ELSE y + h > stop_y END) t
+    WINDOW w AS (PARTITION BY camera_id, track_id ORDER BY frame_number)) z WHERE n = 1"""
+
+
+def _red_records(spark, sf):
+    cfg = _scaled(spark)
+    found = redlight.red_light_violations_on_tracks(_on_tracks(spark, sf), cfg, d.frame_light(spark, sf), classes=VEHICLES)
+    return records.red_light_records(found, cfg, d.FRAME_W, d.FRAME_H)
+
+
+def _lane_records(spark, sf):
+    cfg = _scaled(spark)
+    found = lanes.lane_violations_on_tracks(_on_tracks(spark, sf), cfg, classes=VEHICLES)
+    return records.lane_records(found, cfg, d.FRAME_W, d.FRAME_H)
+
+
+def _helmet_records(spark, sf):
+    boxes = _boxes(spark, sf)
+    return records.helmet_records(helmet.helmet_violations(boxes), boxes, d.FRAME_W, d.FRAME_H)
+
+
+def _plain_times(rows):
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("timestamp", "created_at")}).drop("metadata")
+
+
+_BOXES = "x AS bbox_x, y AS bbox_y, w AS bbox_w, h AS bbox_h"
+
+
+@query("m07_red_light_records", sql_with("zoned light cfgs", f"""
+SELECT violation_id, moment AS timestamp, camera_id, track_id, frame_number, 'RED_LIGHT' AS violation_type, vehicle_type, 'RED' AS traffic_light_state,
+  CAST(NULL AS VARCHAR) AS crossed_line_type, CAST(NULL AS INT) AS line_id, CAST(NULL AS VARCHAR) AS from_side, CAST(NULL AS VARCHAR) AS to_side,
+  0.9e0 AS confidence, {_BOXES}, {_PATH.format(folder='violations/redlight', prefix='redlight')} AS image_path, moment AS created_at
+FROM ({_stamped(_RED_ROWS, 'RED_LIGHT')}) s"""))
+def _(spark, sf):
+    return _plain_times(_red_records(spark, sf))
+
+
+@query("m07_red_light_messages", sql_with("zoned light cfgs", f"""
+SELECT camera_id AS key, violation_id, strftime(moment, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, vehicle_type, 'RED' AS traffic_light_state,
+  x, y, w, h, track_id, frame_number, 0.9e0 AS confidence, stop_y AS stop_line_y, direction AS violation_direction, 1920 AS width, 1080 AS height
+FROM ({_stamped(_RED_ROWS, 'RED_LIGHT')}) s"""))
+def _(spark, sf):
+    topic = records.messages(_red_records(spark, sf), records.RED_LIGHT)
+    good, _ = records.read_messages(topic, records.RED_LIGHT)
+    return good.select(F.col("camera_id").alias("key"), "violation_id", "timestamp", "vehicle_type", "traffic_light_state", "bounding_box.*",
+                       "track_id", "frame_number", "confidence", "metadata.stop_line_y", "metadata.violation_direction",
+                       F.get("metadata.frame_size", F.lit(0)).alias("width"), F.get("metadata.frame_size", F.lit(1)).alias("height"))
+
+
+_LANE_AT = f"""SELECT r.*, a.distance, a.type FROM ({_LANE_ROWS}) r JOIN sided a USING (camera_id, frame_number, det_id, line_id)"""
+
+
+@query("m08_lane_records", ON_TRACKS + f"""
+SELECT violation_id, moment AS timestamp, camera_id, track_id, frame_number, 'lane_violation' AS violation_type, vehicle_type,
+  CAST(NULL AS VARCHAR) AS traffic_light_state, type AS crossed_line_type, CAST(line_id AS INT) AS line_id, from_side, to_side,
+  CAST(NULL AS DOUBLE) AS confidence, {_BOXES}, {_PATH.format(folder='violations/lane', prefix='lane')} AS image_path, moment AS created_at
+FROM ({_stamped(_LANE_AT, 'lane_violation')}) s""")
+def _(spark, sf):
+    return _plain_times(_lane_records(spark, sf))
+
+
+@query("m08_lane_messages", ON_TRACKS + f"""
+SELECT violation_id, camera_id, track_id, strftime(moment, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, type AS crossed_line_type, CAST(line_id AS INT) AS line_id,
+  from_side, to_side, x, w, x + w / 2.0e0 AS px, CAST(y + h AS DOUBLE) AS py, round(distance, 6) AS distance
+FROM ({_stamped(_LANE_AT, 'lane_violation')}) s""")
+def _(spark, sf):
+    good, _ = records.read_messages(records.messages(_lane_records(spark, sf), records.LANE), records.LANE)
+    box, place = F.col("bounding_box"), F.col("metadata.violation_position")
+    return good.select("violation_id", "camera_id", "track_id", "timestamp", "crossed_line_type", "line_id", "from_side", "to_side",
+                       F.get(box, F.lit(0)).alias("x"), F.get(box, F.lit(2)).alias("w"), F.get(place, F.lit(0)).alias("px"),
+                       F.get(place, F.lit(1)).alias("py"), r6("metadata.distance_to_line").alias("distance"))
+
+
+@query("m06_helmet_records")
+def _(spark, sf):
+    return _plain_times(_helmet_records(spark, sf))
+
+
+@query("m06_helmet_messages")
+def _(spark, sf):
+    good, _ = records.read_messages(records.messages(_helmet_records(spark, sf), records.HELMET), records.HELMET)
+    return good.select("violation_id", "camera_id", "timestamp", "track_id", "frame_number", "bounding_box.*", r6("confidence").alias("confidence"),
+                       "detection_method", "metadata.persons_detected", "metadata.no_helmets_detected")
+
+
 @query("i05_helmet_candidates", sql_with("heads persons bikes", f"""
 SELECT camera_id, frame_number, head_id, person_id, round(least(0.99e0, c + CASE WHEN vehicle_conf IS NULL THEN 0 ELSE 0.1e0 END), 6) AS confidence,
   CASE WHEN vehicle_conf IS NULL THEN 'head_only_detection' ELSE 'direct_no_helmet' END AS method
