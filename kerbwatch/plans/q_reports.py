@@ -28,10 +28,12 @@ def _with_now(views: str, body: str) -> str:
 
 
 @query("d02_recent_violations", _with_now("viol cams", """
-SELECT violation_id, v.camera_id, c.name AS camera_name, violation_type, vehicle_type, confidence, detected_at
+SELECT violation_id, v.camera_id, c.name AS camera_name, violation_type, vehicle_type, confidence, detected_at,
+  'violations/' || violation_id || '.jpg' AS image_path
 FROM viol v LEFT JOIN cams c USING (camera_id), m WHERE detected_at > as_of - INTERVAL 24 HOURS"""))
 def _(spark, sf):
     v = d.violations(spark, sf)
+    v = v.withColumn("image_path", F.concat(F.lit("violations/"), F.col("violation_id").cast("string"), F.lit(".jpg")))
     return reports.recent_violations(v, d.cameras(spark, sf), d.newest(v))
 
 
@@ -51,6 +53,28 @@ def _(spark, sf):
     return reports.orphans(d.violations(spark, sf), d.cameras(spark, sf), "camera_id")
 
 
+_REFERENCES = """
+WITH frames AS (SELECT o_orderkey AS frame_id, concat('cam', CAST(o_custkey % 27 AS VARCHAR)) AS camera_id FROM orders),
+cams AS (SELECT concat('cam', CAST(n_nationkey AS VARCHAR)) AS camera_id FROM nation),
+viol AS (SELECT event_id, event_id // 2 AS frame_id FROM events),
+registry AS (SELECT concat('model', CAST(p_partkey AS VARCHAR)) AS model_name FROM part WHERE p_size <> 7),
+history AS (SELECT concat('model', CAST(l_partkey AS VARCHAR)) AS model_name FROM lineitem)
+SELECT 'frames.camera_id' AS reference, CAST(camera_id AS VARCHAR) AS value, count(*) AS rows FROM frames WHERE camera_id NOT IN (SELECT camera_id FROM cams) GROUP BY ALL
+UNION ALL SELECT 'violations.frame_id', CAST(frame_id AS VARCHAR), count(*) FROM viol WHERE frame_id NOT IN (SELECT frame_id FROM frames) GROUP BY ALL
+UNION ALL SELECT 'history.model_name', model_name, count(*) FROM history WHERE model_name NOT IN (SELECT model_name FROM registry) GROUP BY ALL"""
+
+
+@query("d14_broken_references", _REFERENCES)
+def _(spark, sf):
+    shots = d.table(spark, sf, "orders").select(F.col("o_orderkey").alias("frame_id"), F.concat(F.lit("cam"), (F.col("o_custkey") % 27).cast("string")).alias("camera_id"))
+    hits = d.table(spark, sf, "events").select(F.expr("event_id div 2").alias("frame_id"))
+    registry = d.table(spark, sf, "part").where("p_size <> 7").select(F.concat(F.lit("model"), F.col("p_partkey").cast("string")).alias("model_name"))
+    history = d.table(spark, sf, "lineitem").select(F.concat(F.lit("model"), F.col("l_partkey").cast("string")).alias("model_name"))
+    return reports.broken_references({
+        "frames.camera_id": (shots, d.cameras(spark, sf), "camera_id"), "violations.frame_id": (hits, shots, "frame_id"),
+        "history.model_name": (history, registry, "model_name")})
+
+
 @query("e01_e04_window_counts", _with_now("viol", """
 SELECT count(*) AS total, count(*) FILTER (CAST(detected_at AS DATE) = CAST(as_of AS DATE)) AS today,
   count(*) FILTER (detected_at >= as_of - INTERVAL 1 HOUR) AS last_hour,
@@ -235,6 +259,14 @@ def _(spark, sf):
     return frames.inventory(p).withColumn("parent", fields.parent_name(F.col("path")))
 
 
+@query("g07_sorted_inventory", r"""
+SELECT regexp_replace(base, '(.)\.[^.]*$', '\1') AS id, base AS filename, url AS path
+FROM (SELECT *, regexp_extract(url, '([^/]*)$', 1) AS base FROM pages) p ORDER BY base, url""")
+def _(spark, sf):
+    p = d.table(spark, sf, "pages").select(F.col("url").alias("path"), F.length("url").alias("length"))
+    return frames.sorted_inventory(p).select("id", "filename", "path")
+
+
 @query("a12_config_in_use", sql_with("viol cfg lines zone", """
 SELECT c.camera_id, stop_y, direction, (SELECT count(*) FROM lines l WHERE l.camera_id = c.camera_id) AS n_lines,
   (SELECT count(*) FROM zone z WHERE z.camera_id = c.camera_id) AS corners, count(violation_id) AS n

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbwatch import schemas
 from kerbwatch.functions import geometry as g
 from kerbwatch.operators import helmet, redlight, rules, tracking
 from kerbwatch.plans import derived as d
@@ -12,22 +15,25 @@ from kerbwatch.plans.oracle import sql_with
 from kerbwatch.plans.q_relations import REPEATS, TRACKS
 from kerbwatch.plans.registry import query
 from kerbwatch.session import materialise, work_path
-from kerbwatch.sources import config
-from kerbwatch.streaming import jobs
+from kerbwatch.sources import config, frames
+from kerbwatch.streaming import books, jobs
 
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events table as a file stream, with the violation columns derived from it."""
-    schema = d.table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+def _violation_columns(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
-    return stream.select(
+    return events.select(
         F.col("event_id").alias("violation_id"), F.col("ts").cast("timestamp").alias("ts"),
         F.concat(F.lit("cam"), (F.col("user_id") % 30).cast("string")).alias("camera_id"), F.col("user_id").alias("track_id"),
         F.when(kind == "click", "no_helmet").when(kind == "view", "RED_LIGHT").when(kind == "purchase", "lane_violation")
         .when(kind == "signup", "stop_line_crossing").otherwise("red_light_running").alias("violation_type"))
 
 
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table as a file stream, with the violation columns derived from it."""
+    schema = d.table(spark, sf, "events").schema
+    return _violation_columns(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf))
+
+
 def _drained(stream: DataFrame, label: str) -> DataFrame:
     spark = stream.sparkSession
     out = work_path(spark, label)
@@ -61,6 +67,74 @@ def _(spark, sf):
     return _drained(jobs.first_arrivals(stream, delay="60 days").select("violation_id"), "arrivals")
 
 
+def _event_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The violations of the events table as a stream of several micro-batches, in order of time."""
+    rows = _violation_columns(d.table(spark, sf, "events"))
+    stored = materialise(rows.repartitionByRange(8, "ts").sortWithinPartitions("ts"), "event-batches")
+    folder = stored.inputFiles()[0].rsplit("/", 1)[0]
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _book(spark: SparkSession, sf: str, label: str, make) -> str:
+    path = work_path(spark, label)
+    jobs.drain([jobs.micro_batches(_event_batches(spark, sf), make(path), work_path(spark, f"{label}-ckpt"), None)])
+    return path
+
+
+_TYPES = "violation_id bigint, ts timestamp, camera_id string, track_id bigint, violation_type string"
+
+
+@query("i11_hourly_with_late_rows", sql_with("viol", """
+SELECT date_trunc('hour', detected_at) AS hour_bucket, camera_id, violation_type, count(*) AS count FROM viol GROUP BY ALL"""))
+def _(spark, sf):
+    # closed hours, open ones and late rows together are all rows, whatever order the files come in
+    path = _book(spark, sf, "hourly-book", books.hourly)
+    schema = "hour_bucket timestamp, camera_id string, violation_type string, count bigint"
+    late = books.booked(spark, path, _TYPES, "late").select(F.date_trunc("hour", "ts").alias("hour_bucket"), "camera_id", "violation_type",
+                                                            F.lit(1).cast("bigint").alias("count"))
+    rows = books.booked(spark, path, schema).unionByName(books.booked(spark, path, schema, "open")).unionByName(late)
+    return rows.groupBy(F.col("hour_bucket").cast("timestamp_ntz").alias("hour_bucket"), "camera_id", "violation_type").agg(F.sum("count").alias("count"))
+
+
+@query("i11_sessions_with_late_rows", sql_with("viol", "SELECT camera_id, track_id, count(*) AS sightings FROM viol GROUP BY ALL"))
+def _(spark, sf):
+    path = _book(spark, sf, "session-book", lambda p: books.sessions(p, timedelta(hours=12)))
+    schema = "camera_id string, track_id bigint, first_seen timestamp, last_seen timestamp, sightings bigint"
+    late = books.booked(spark, path, _TYPES, "late").select("camera_id", "track_id", F.lit(1).cast("bigint").alias("sightings"))
+    rows = books.booked(spark, path, schema).unionByName(books.booked(spark, path, schema, "open"))
+    return rows.select(*late.columns).unionByName(late).groupBy("camera_id", "track_id").agg(F.sum("sightings").alias("sightings"))
+
+
+@query("i11_arrivals_with_late_rows", sql_with("viol", "SELECT DISTINCT violation_id // 3 AS violation_id FROM viol"))
+def _(spark, sf):
+    path = work_path(spark, "arrival-book")
+    # three events share an id; their times lie apart, so some repeats come when the id is forgotten
+    stream = _event_batches(spark, sf).withColumn("violation_id", F.expr("violation_id div 3"))
+    jobs.drain([jobs.micro_batches(stream, books.arrivals(path), work_path(spark, "arrival-ckpt"), None)])
+    both = books.booked(spark, path, _TYPES).unionByName(books.booked(spark, path, _TYPES, "late"))
+    return both.select("violation_id").distinct()
+
+
+@query("a05_buffered_inserts", sql_with("viol", "SELECT violation_id, camera_id, violation_type FROM viol"))
+def _(spark, sf):
+    path = _book(spark, sf, "insert-book", books.buffered)
+    rows = books.booked(spark, path, _TYPES).unionByName(books.booked(spark, path, _TYPES, "open"))
+    return rows.select("violation_id", "camera_id", "violation_type")
+
+
+@query("a01_decoded_stream", sql_with("viol", """
+SELECT 'camera-' || camera_id AS camera_id, strftime(detected_at, '%Y-%m-%dT%H:%M:%S') AS timestamp, violation_id || '.jpg' AS filename FROM viol"""))
+def _(spark, sf):
+    v = d.violations(spark, sf)
+    ref = F.struct(F.concat(F.lit("camera-"), "camera_id").alias("camera_id"), F.date_format("detected_at", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+                   F.concat(F.col("violation_id").cast("string"), F.lit(".jpg")).alias("filename"))
+    topic = materialise(v.select(F.to_json(ref).alias("value")), "topic")
+    folder = topic.inputFiles()[0].rsplit("/", 1)[0]
+    source = frames.message_stream(spark, "parquet", "value string", folder)
+    good, _ = frames.decode(source, schemas.FRAME_REF)
+    return _drained(good, "decoded").select("camera_id", "timestamp", "filename")
+
+
 @query("a03_message_stream", sql_with("viol", """
 SELECT '{"violation_id":' || violation_id || ',"camera_id":"' || camera_id || '"}' AS value FROM viol"""))
 def _(spark, sf):

@@ -23,8 +23,9 @@ def recent_violations(violations: DataFrame, cameras: DataFrame, as_of=None, ord
     """Last 24 hours with the camera name; violations of unknown cameras stay."""
     recent = violations.where(select.since("detected_at", as_of, "24 HOURS"))
     names = cameras.select("camera_id", F.col("name").alias("camera_name"))
+    image = [c for c in ("image_path",) if c in violations.columns]
     out = recent.join(names, "camera_id", "left").select(
-        "violation_id", "camera_id", "camera_name", "violation_type", "vehicle_type", "confidence", "detected_at")
+        "violation_id", "camera_id", "camera_name", "violation_type", "vehicle_type", "confidence", "detected_at", *image)
     return out.orderBy(F.desc("detected_at")) if ordered else out
 
 
@@ -145,6 +146,16 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
     return keys.join(known, key, "left_anti")
 
 
+def broken_references(references: dict[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:
+    """reference, value, rows: values of every child table's key that its parent table does not have, nulls aside."""
+    out = None
+    for name, (child, parent, key) in references.items():
+        found = orphans(child.where(F.col(key).isNotNull()), parent, key)
+        found = found.select(F.lit(name).alias("reference"), F.col(key).cast("string").alias("value"), "rows")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 # ---------------------------------------------------------------- pages and feeds
 
 

@@ -61,8 +61,13 @@ def inventory(files: DataFrame) -> DataFrame:
                         F.round(F.col("length") / F.lit(1048576.0), 2).alias("size_mb"), name.alias("camera_id"))
 
 
+def sorted_inventory(files: DataFrame) -> DataFrame:
+    """Inventory by file name; equal names by path."""
+    return inventory(files).orderBy("filename", "path")
+
+
 def video_files(spark: SparkSession, folder: str) -> DataFrame:
-    return inventory(listing(spark, folder, VIDEOS, recursive=False)).orderBy("filename")
+    return sorted_inventory(listing(spark, folder, VIDEOS, recursive=False))
 
 
 def messages_to_violations(messages: DataFrame) -> DataFrame:

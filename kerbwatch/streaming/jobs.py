@@ -20,7 +20,6 @@ from kerbwatch.session import ship_package
 from kerbwatch.sources import config, frames, sinks
 
 FLUSH_SECONDS = 5
-FLUSH_ROWS = 10
 
 
 # ---------------------------------------------------------------- ordered rules
