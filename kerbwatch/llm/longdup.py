@@ -207,12 +207,17 @@ def spans(docs: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``docs``."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``docs``.
+
+    Ids may be null, repeated or of any type: rows go by a hash of their id, which only deals them, and of their text.
+    Null texts count as empty; rows that repeat are repeats of each other; an empty table gives no rows. Other columns
+    are not read.
+    """
     ship_package(docs.sparkSession)
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(raw(text), F.lit(b"")).alias("raw"))
-    rows = rows.withColumn("text_hash", F.xxhash64("raw"))
     kind = docs.schema[key].dataType.simpleString()
-    joined = rows.join(spans(rows), ["key", "text_hash"], "left").select("key", "raw", "runs")
+    rows = docs.select(F.col(key).alias("id"), F.xxhash64(key).alias("key"), F.coalesce(raw(text), F.lit(b"")).alias("raw"))
+    rows = rows.withColumn("text_hash", F.xxhash64("raw"))
+    joined = rows.join(spans(rows.drop("id")), ["key", "text_hash"], "left").select("id", "raw", "runs")
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbwatch.llm.common import look_up
 from kerbwatch.session import materialise
 
 BINS, BITS, WIDTH = 128, 8, 5
@@ -68,17 +69,32 @@ def likeness(a: str, b: str) -> Column:
     return F.greatest(F.lit(0.0), (same / F.lit(float(BINS)) - chance) / (1 - chance))
 
 
+def _lot(key: Column, kind: str, text_hash: Column) -> Column:
+    """Lots in the order of the rows: null keys first, by the hash of their text, then keys by value."""
+    if kind == "string":
+        # the first six bytes as a number keep the order of text
+        head = F.rpad(F.hex(F.substring(F.encode(key, "UTF-8"), 1, 6)), 12, "0")
+        value = F.conv(head, 16, 10).cast("bigint")
+    else:
+        value = F.floor(key / NEIGHBOURS).cast("bigint")
+    return F.coalesce(value, F.shiftright(text_hash, 43) - F.lit(1 << 61))
+
+
 def successors(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, text, next_key, next_text: the row after each in ascending key, the first after the last.
+    """key, text, next_text: the row after each in ascending key, the first after the last.
 
-    Rows with nearby keys are dealt together. The last of such a lot finds its successor by the next lot that
-    has rows, which takes one small row for each lot, dealt in the same way once more.
+    Null keys come first, by the hash of their text; equal keys go by their text. Keys are numbers or text. Rows with
+    nearby keys are dealt together. The last of such a lot finds its successor by the next lot that has rows, which
+    takes one small row for each lot, dealt in the same way once more.
     """
+    kind = "string" if docs.schema[key].dataType.simpleString() == "string" else "number"
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("lot", F.floor(F.col("key") / NEIGHBOURS).cast("bigint"))
-    inside = Window.partitionBy("lot").orderBy("key", "text")
+    hashed = F.when(F.col("key").isNull(), F.xxhash64("text"))
+    rows = rows.withColumn("first", hashed).withColumn("lot", _lot(F.col("key"), kind, F.col("first")))
+    inside = Window.partitionBy("lot").orderBy("first", "key", "text")
     led = rows.select("*", F.lead(F.struct("key", "text")).over(inside).alias("next"))
-    first = materialise(rows.groupBy("lot").agg(F.min_by(F.struct("key", "text"), F.struct("key", "text")).alias("head")), "lots")
+    head = F.min_by(F.struct("key", "text"), F.struct("first", "key", "text")).alias("head")
+    first = materialise(rows.groupBy("lot").agg(head), "lots")
     lots = first.select("lot", F.floor(F.col("lot") / NEIGHBOURS).cast("bigint").alias("area"))
     areas = lots.groupBy("area").agg(F.min("lot").alias("least"))
     least = areas.agg(F.min("least")).first()[0]
@@ -89,26 +105,38 @@ def successors(docs: DataFrame, key: str, text: str) -> DataFrame:
     heads = heads.join(first.select(F.col("lot").alias("next_lot"), "head"), "next_lot").select("lot", "head")
     # the rows lie by lot already, so this moves the small side only
     both = led.join(heads, "lot").select("key", "text", F.coalesce("next", "head").alias("next"))
-    return both.select("key", "text", F.col("next.key").alias("next_key"), F.col("next.text").alias("next_text"))
+    return both.select("key", "text", F.col("next.text").alias("next_text"))
 
 
 def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_chars, text, next_key and the text whose second half is the beginning of the next one's."""
+    """key, n_chars, text, next_print and the text whose second half is the beginning of the next one's.
+
+    own_print and next_print are hashes of the row's and the next row's text.
+    """
     rows = successors(docs, key, text)
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     changed = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    return rows.select("key", "next_key", n.cast("bigint").alias("n_chars"), "text", changed.alias("edited"))
+    own, following = (F.struct(F.xxhash64(c), F.xxhash64(F.lit(1), c)) for c in ("text", "next_text"))
+    return rows.select("key", own.alias("own_print"), following.alias("next_print"), n.cast("bigint").alias("n_chars"), "text",
+                       changed.alias("edited"))
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row.
+
+    Null texts count as empty. Null, repeated and textual keys are put in order as ``successors`` says; rows that repeat
+    follow each other. An empty table gives no rows; other columns are not read.
+    """
     rows = edited(docs, key, text).withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256))
     rows = fingerprint(rows, "text", "fingerprint").drop("text")
     rows = fingerprint(rows, "edited", "edited_fingerprint").drop("edited")
     rows = materialise(rows, "fingerprints")
-    following = rows.groupBy(F.col("key").alias("next_key")).agg(F.min("fingerprint").alias("next_fingerprint"))
-    rows = rows.join(following, "next_key")
+    # a fingerprint depends on the text alone
+    following = rows.groupBy(F.col("own_print").alias("next_print")).agg(F.min("fingerprint").alias("next_fingerprint"))
+    often = rows.groupBy("next_print").agg(F.count("*").alias("n"))
+    following = materialise(following.join(often, "next_print"), "next-fingerprints")
+    rows = look_up(rows, following, ["next_print"], "n", rows.count())
     return rows.select(F.col("key").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                        likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
                        likeness("fingerprint", "next_fingerprint").alias("near_next"))
