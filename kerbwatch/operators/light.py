@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbwatch.session import broadcast_checked
+
 # Inclusive HSV ranges (hue 0-180) and the least number of pixels.
 HSV = {
     "red_lower1": (0, 100, 100), "red_upper1": (10, 255, 255),
@@ -70,3 +72,24 @@ def in_light_region(pixels: DataFrame, px: str = "px", py: str = "py") -> DataFr
     """Keep the pixels of the configured light region (far edges excluded, as in a crop)."""
     return pixels.where((F.col(px) >= F.greatest(F.lit(0), F.col("light_x1"))) & (F.col(px) < F.col("light_x2"))
                         & (F.col(py) >= F.greatest(F.lit(0), F.col("light_y1"))) & (F.col(py) < F.col("light_y2")))
+
+
+def camera_light(pixels: DataFrame, cfg: DataFrame, keys: Sequence[str] = ("camera_id", "frame_number"),
+                 min_pixels: int = MIN_PIXELS) -> DataFrame:
+    """Light state of every frame from its pixels (px, py, h, s, v), each camera with its own region and colours.
+
+    One range join with the (size-checked) configuration: a pixel meets its camera's entry if it lies in the entry's light
+    region, so all others end before the count. A camera without a region has no state; a frame without a pixel in
+    the region is UNKNOWN. Colours that an entry does not set take the usual ranges.
+    """
+    keys = list(keys)
+    regions = cfg.where("light_x1 IS NOT NULL").select(
+        F.col("camera_id").alias("_camera"), *(f"light_{c}" for c in ("x1", "y1", "x2", "y2")), "color_detection")
+    regions = broadcast_checked(regions)
+    tests = _ranges(F.col("color_detection"))
+    within = in_light_region(pixels.join(regions, F.col("camera_id") == F.col("_camera")))
+    counts = within.groupBy(*keys).agg(*(F.count_if(test).alias(f"{name}_pixels") for name, test in tests.items()))
+    seen = pixels.join(regions, F.col("camera_id") == F.col("_camera"), "left_semi").select(*keys).distinct()
+    names = [f"{name}_pixels" for name in tests]
+    out = seen.join(counts, keys, "left").fillna(0, names)
+    return out.withColumn("light_state", colour_state(*(F.col(n) for n in names), min_pixels))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from kerbwatch.functions import geometry as g
 from kerbwatch.operators import fold, rules, select, tracking
+from kerbwatch.operators.light import camera_light
+from kerbwatch.session import materialise
 from kerbwatch.sources import config
 
 MIN_CONF = 0.4
@@ -69,6 +71,13 @@ def red_light_violations_on_tracks(dets: DataFrame, cfg: DataFrame, light: DataF
     return first_red_crossings(red_light_inputs(dets, cfg, light, min_conf, classes))
 
 
+def red_light_violations_from_pixels(dets: DataFrame, pixels: DataFrame, cfg: DataFrame, **options) -> DataFrame:
+    """The whole rule without a light detector: states come from each camera's light region and colours."""
+    lit = materialise(camera_light(pixels, cfg), "light-states")
+    rule = red_light_violations_on_tracks if "track_id" in dets.columns else red_light_violations
+    return rule(dets, cfg, lit, **options)
+
+
 # ---------------------------------------------------------------- frame-level rule on detection arrays
 
 

@@ -133,6 +133,22 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def frame_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HSV pixels with their place, for the frames of ten scenes; some lie outside their camera's light region."""
+    p = table(spark, sf_dir, "lineitem")
+    scene, k = F.col("l_orderkey") % 10, F.col("l_partkey") % 8
+    camera = scene % 3
+    left = F.when(camera == 0, 40).when(camera == 1, 1440).otherwise(640)
+    top = F.when(camera == 0, 20).when(camera == 1, 730).otherwise(205)
+    return p.select(
+        F.concat(F.lit("cam"), (camera + 1).cast("string")).alias("camera_id"), (scene * 8 + k).alias("frame_number"),
+        (left + (F.col("l_suppkey") * 7 + F.col("l_linenumber") * 31) % 240).alias("px"),
+        (top + (F.col("l_partkey") * 13 + F.col("l_linenumber")) % 230).alias("py"),
+        ((scene * 41 + k * 10 + F.col("l_suppkey") % 15) % 181).alias("h"),
+        (80 + (F.col("l_suppkey") * 13 + F.col("l_partkey")) % 176).alias("s"),
+        (80 + (F.col("l_orderkey") * 29 + F.col("l_suppkey")) % 176).alias("v"))
+
+
 def cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(

@@ -307,6 +307,47 @@ def _(spark, sf):
     return redlight.red_light_violations(_boxes(spark, sf), _scaled(spark), d.frame_light(spark, sf), classes=VEHICLES)
 
 
+_PIXEL_LIGHT = """
+, shot AS (SELECT concat('cam', CAST(scene % 3 + 1 AS VARCHAR)) AS camera_id, scene * 8 + k AS frame_number,
+    CASE scene % 3 WHEN 0 THEN 40 WHEN 1 THEN 1440 ELSE 640 END + (l_suppkey * 7 + l_linenumber * 31) % 240 AS px,
+    CASE scene % 3 WHEN 0 THEN 20 WHEN 1 THEN 730 ELSE 205 END + (l_partkey * 13 + l_linenumber) % 230 AS py,
+    (scene * 41 + k * 10 + l_suppkey % 15) % 181 AS h, 80 + (l_suppkey * 13 + l_partkey) % 176 AS s, 80 + (l_orderkey * 29 + l_suppkey) % 176 AS v
+  FROM (SELECT *, l_orderkey % 10 AS scene, l_partkey % 8 AS k FROM lineitem) q),
+counted AS (SELECT p.camera_id, frame_number,
+    count(*) FILTER (s >= 100 AND v >= 100 AND (h <= CASE p.camera_id WHEN 'cam3' THEN 30 ELSE 10 END OR h BETWEEN 160 AND 180)) AS red_pixels,
+    count(*) FILTER (s >= 100 AND v >= 100 AND h BETWEEN 40 AND 80) AS green_pixels, count(*) FILTER (s >= 100 AND v >= 100 AND h BETWEEN 20 AND 35) AS yellow_pixels
+  FROM shot p JOIN cfgs c ON p.camera_id = c.camera_id AND px >= lx1 AND px < lx2 AND py >= ly1 AND py < ly2 GROUP BY ALL),
+states AS (SELECT camera_id, frame_number, red_pixels, green_pixels, yellow_pixels,
+    CASE WHEN red_pixels > green_pixels AND red_pixels > yellow_pixels AND red_pixels > 50 THEN 'RED'
+      WHEN green_pixels > red_pixels AND green_pixels > yellow_pixels AND green_pixels > 50 THEN 'GREEN' WHEN yellow_pixels > 50 THEN 'YELLOW' ELSE 'UNKNOWN' END AS light_state
+  FROM (SELECT camera_id, frame_number, coalesce(red_pixels, 0) AS red_pixels, coalesce(green_pixels, 0) AS green_pixels, coalesce(yellow_pixels, 0) AS yellow_pixels
+        FROM (SELECT DISTINCT camera_id, frame_number FROM shot) f LEFT JOIN counted USING (camera_id, frame_number)) t)"""
+
+
+def _own_colours(spark):
+    """The scaled configuration; the third camera sees a wider red."""
+    names = ("red_lower1", "red_upper1", "red_lower2", "red_upper2", "green_lower", "green_upper", "yellow_lower", "yellow_upper")
+    wide = {"red_lower1": (0, 100, 100), "red_upper1": (30, 255, 255)}
+    own = F.struct(*(F.array(*map(F.lit, wide[n])).alias(n) if n in wide else F.lit(None).cast("array<int>").alias(n) for n in names))
+    return _scaled(spark).withColumn("color_detection", F.when(F.col("camera_id") == "cam3", own).otherwise(F.col("color_detection")))
+
+
+@query("e11_light_by_camera", sql_with("cfgs", "").rstrip() + _PIXEL_LIGHT + "\nSELECT * FROM states")
+def _(spark, sf):
+    return light.camera_light(d.frame_pixels(spark, sf), _own_colours(spark))
+
+
+@query("i06_red_light_from_pixels", sql_with("zoned cfgs", "").rstrip() + _PIXEL_LIGHT + """
+SELECT camera_id, track_id, frame_number FROM (
+  SELECT c.camera_id, c.det_id AS track_id, c.frame_number, row_number() OVER (PARTITION BY c.camera_id, c.det_id ORDER BY c.frame_number) AS n
+  FROM zoned c JOIN states l ON l.camera_id = c.camera_id AND l.frame_number = c.frame_number JOIN cfgs ON cfgs.camera_id = c.camera_id
+  WHERE class_id IN (2, 3, 5) AND conf >= 0.4e0 AND light_state = 'RED'
+    AND CASE direction WHEN 'above' THEN y + h < stop_y ELSE y + h > stop_y END) r WHERE n = 1""")
+def _(spark, sf):
+    out = redlight.red_light_violations_from_pixels(_on_tracks(spark, sf), d.frame_pixels(spark, sf), _own_colours(spark), classes=VEHICLES)
+    return out.select("camera_id", "track_id", "frame_number")
+
+
 @query("i08_stop_line_rule", sql_with("cl light cfgs", """
 SELECT c.camera_id, frame_number, CASE class_id WHEN 2 THEN 'car' WHEN 3 THEN 'motorcycle' ELSE 'bus' END AS vehicle,
   x + w / 2.0e0 AS cx, y + h / 2.0e0 AS cy
