@@ -61,6 +61,17 @@ class Tracker(Rule):
         slot, fresh = self.place(now, cx, cy)
         return slot[_ID], fresh
 
+    # a plain track has no note; the rules that add one keep their own state
+
+    state = "x double, y double, t double, id bigint"
+
+    def to_state(self, now):
+        return [(s[_X], s[_Y], s[_T], s[_ID]) for s in self.live if now - s[_T] <= self.memory]
+
+    def from_state(self, rows):
+        self.live = [[x, y, t, ident, None] for x, y, t, ident in rows]
+        self.taken = set()
+
 
 class LaneWatch(Tracker):
     """Tracking, solid-line crossing and per-track cooldown in one pass.
@@ -197,6 +208,14 @@ class Repeats(Rule):
         self.recent = [r for r in self.recent if now - r[0] < self.memory]
         return [(r, r[0], 0) for r in self.recent]
 
+    state = "t double, track_id bigint, x double, y double"
+
+    def to_state(self, now):
+        return [tuple(r) for r in self.recent if now - r[0] < self.memory]
+
+    def from_state(self, rows):
+        self.recent = [list(r) for r in rows]
+
     def seen(self, now: float, track: int, cx: float, cy: float) -> bool:
         self.recent = [r for r in self.recent if now - r[0] < self.memory]
         return any(r[1] == track or math.sqrt((cx - r[2]) ** 2 + (cy - r[3]) ** 2) < self.distance
@@ -250,6 +269,15 @@ class HelmetWatch(Rule):
         return ([(["track", c, n], t, i) for n, (c, t, i) in enumerate(tracks)]
                 + [(["report", r[0], label.get(r[1]), r[2], r[3]], t, 0) for r, t, _ in reports])
 
+    state = "kind string, x double, y double, t double, id bigint"
+
+    def to_state(self, now):
+        return ([("track", *s) for s in self.tracker.to_state(now)] + [("report", x, y, t, k) for t, k, x, y in self.repeats.to_state(now)])
+
+    def from_state(self, rows):
+        self.tracker.from_state([r[1:] for r in rows if r[0] == "track"])
+        self.repeats.from_state([(t, k, x, y) for kind, x, y, t, k in rows if kind == "report"])
+
     def begin_frame(self, now):
         self.done = set()
 

@@ -16,7 +16,7 @@ from kerbwatch.plans.q_relations import REPEATS, TRACKS
 from kerbwatch.plans.registry import query
 from kerbwatch.session import materialise, work_path
 from kerbwatch.sources import config, frames
-from kerbwatch.streaming import books, jobs
+from kerbwatch.streaming import books, jobs, stateful
 
 
 def _violation_columns(events: DataFrame) -> DataFrame:
@@ -198,18 +198,42 @@ def _(spark, sf):
     return _drained(out, "cooldown").select("camera_id", "track_id", "violation_id")
 
 
+BATCHES = 4
+
+
+def _moment():
+    """The derived seconds as event time, counted from a day of our own: a watermark starts at the epoch."""
+    return F.timestamp_micros(F.round(F.col("ts_sec") * 1e6).cast("bigint") + F.lit(1_700_000_000_000_000))
+
+
+def _in_batches(df: DataFrame, label: str, n: int = BATCHES) -> DataFrame:
+    """A derived table as a stream of ``n`` micro-batches in order of time, and a last one with a tick of each camera an hour
+    later, which moves the watermark past all frames."""
+    spark = df.sparkSession
+    path = work_path(spark, label)
+    rows = materialise(df.withColumn("ts", _moment()), label)
+    low, high = rows.agg(F.min("ts_sec"), F.max("ts_sec")).first()
+    slot = F.least(F.floor((F.col("ts_sec") - low) / ((high - low) / n)), F.lit(n - 1))
+    for i in range(n):  # files are taken in the order in which they were written
+        rows.where(slot == i).coalesce(1).write.mode("append").parquet(path)
+    ticks = rows.select("camera_id").distinct().select("camera_id", F.lit(high + 3600.0).alias("ts_sec"))
+    ticks = ticks.withColumn("ts", _moment())
+    rows.limit(0).unionByName(ticks, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 @query("i01_tracks_stream", TRACKS + "\nSELECT camera_id, frame_number, det_id, track_id, is_new FROM tracks")
 def _(spark, sf):
     rows = tracking.with_centroid(d.boxes(spark, sf).where("class_id IN (2, 3, 5)"))
-    out = jobs.rule_stream(_as_stream(rows, "vehicles"), rules.Tracker(), ["camera_id"], tracking.ORDER, ["frame_number", "det_id"])
-    return _drained(out, "tracks").drop("is_late")
+    out = stateful.rule_stream(_in_batches(rows, "vehicles"), rules.Tracker(), ["camera_id"], tracking.ORDER, ["frame_number", "det_id"])
+    return _drained(out, "tracks").where("NOT is_late").drop("is_late")
 
 
 @query("i04_repeats_stream", REPEATS + "\nSELECT camera_id, ts_sec, det_id FROM kept_rows")
 def _(spark, sf):
     heads = tracking.with_centroid(d.boxes(spark, sf).where("class_id = 7")).withColumn("track_id", F.col("det_id"))
-    out = jobs.rule_stream(_as_stream(heads, "heads"), rules.Repeats(), ["camera_id"], ["ts_sec", "det_id"], ["ts_sec", "det_id"])
-    return _drained(out, "repeats").select("camera_id", "ts_sec", "det_id")
+    out = stateful.rule_stream(_in_batches(heads, "heads"), rules.Repeats(), ["camera_id"], ["ts_sec", "det_id"], ["ts_sec", "det_id"])
+    return _drained(out, "repeats").where("NOT is_late").select("camera_id", "ts_sec", "det_id")
 
 
 @query("i08_stop_line_stream", sql_with("cl light cfgs", """
@@ -234,7 +258,8 @@ def _(spark, sf):
 
 @query("i05_helmet_stream")
 def _(spark, sf):
-    found = helmet.ordered_candidates(d.boxes(spark, sf))
-    out = jobs.rule_stream(_as_stream(found, "candidates"), rules.HelmetWatch(), ["camera_id"], helmet.ORDER,
-                           ["frame_number", "ts_sec", "method"])
-    return _drained(out, "helmet").where("violation").select("camera_id", "frame_number", "ts_sec", "track_id", "method")
+    found = helmet.ordered_candidates(d.boxes(spark, sf)).select(
+        "camera_id", *helmet.ORDER, "ts_sec", "method", *(c for c in rules.HelmetWatch.inputs if c not in helmet.ORDER))
+    out = stateful.rule_stream(_in_batches(found, "candidates"), rules.HelmetWatch(), ["camera_id"], helmet.ORDER,
+                               ["frame_number", "ts_sec", "method"])
+    return _drained(out, "helmet").where("violation AND NOT is_late").select("camera_id", "frame_number", "ts_sec", "track_id", "method")
