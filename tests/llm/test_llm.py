@@ -62,6 +62,33 @@ def test_language(spark, none):
     assert [r.lang_pred for r in langid.predict(odd, empty).collect()] == ["und"] * 3
 
 
+@pytest.mark.parametrize("entries", [1 << 21, 4000, 400])
+def test_language_with_a_small_model(spark, entries):
+    """However few grams are kept, clean texts are not rejected, and small languages neither vanish nor take over."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang IS NOT NULL")
+    rare = spark.createDataFrame([(900_000 + i, f"ωκ λψ{chr(0x3b1 + i % 20)} φξ ζη θπ{chr(0x3b1 + i % 7)}", "rare") for i in range(3)], "doc_id bigint, text string, lang string")
+    train = docs.where("doc_id % 2 = 0").select("doc_id", "text", "lang").unionByName(rare)
+    model = langid.fit(train, entries=entries * 5, per_language=entries)
+    test = docs.where("doc_id % 2 = 1 AND length(text) > 200")
+    got = langid.predict(test, model).join(test.select("doc_id", "lang"), "doc_id").collect()
+    assert np.mean([r.lang == r.lang_pred for r in got]) > (0.97 if entries > 400 else 0.9) and not any(r.lang_pred == "rare" for r in got)
+    assert np.mean([r.rejected for r in got]) < 0.02
+    assert [r.lang_pred for r in langid.predict(rare, model).collect()] == ["rare"] * 3
+
+
+def test_levels_in_spark_are_those_of_one_language(spark):
+    code, n = np.unique(langid.grams(langid.symbols(LONG.encode(), langid.alphabet())), return_counts=True)
+    found = spark.createDataFrame([("x", int(c.view(np.int64)), int(k)) for c, k in zip(code, n)], "lang string, gram bigint, n bigint")
+    whole = langid.kneser_ney(code, n)
+    rows = langid.levels(found).collect()
+    c = {(r.order, r.gram & ((1 << 64) - 1)): (r.c, r.total, r.kinds) for r in rows}
+    assert len(c) == sum(len(whole[f"gram{k}"]) for k in (1, 2, 3, 4))
+    model = langid.fit(spark.createDataFrame([(1, LONG, "x")], "doc_id bigint, text string, lang string"))
+    for k in (1, 2, 3, 4):
+        assert (model[f"gram{k}"] == whole[f"gram{k}"]).all() and np.allclose(model[f"logp{k}"][:, 0], whole[f"logp{k}"], rtol=1e-5)
+        assert np.allclose(model[f"back{k}"][:, 0], whole[f"back{k}"], rtol=1e-5)
+
+
 def test_kneser_ney_sums_to_one():
     c = langid.symbols("the cat sat on the mat, the rat ate that hat".encode(), langid.alphabet())
     code, n = np.unique(langid.grams(c), return_counts=True)
