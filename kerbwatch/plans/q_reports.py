@@ -13,6 +13,7 @@ from kerbwatch.plans import derived as d
 from kerbwatch.plans import reports
 from kerbwatch.plans.oracle import sql_with
 from kerbwatch.plans.registry import query, r6
+from kerbwatch.session import work_path
 from kerbwatch.sources import config, frames, sinks
 
 _NOW = ", m AS (SELECT max(detected_at) AS as_of FROM viol)"
@@ -329,6 +330,21 @@ def _(spark, sf):
     return sinks.new_rows(v, stored, "id", ("detected_at",)).select("id", "first_id")
 
 
+@query("a07_insert_by_day", sql_with("viol", """
+SELECT violation_id // 2 AS violation_id, date_trunc('day', min(detected_at)) AS day, count(*) AS rows FROM (
+  SELECT violation_id, detected_at, row_number() OVER (PARTITION BY violation_id // 2, CAST(detected_at AS DATE) ORDER BY violation_id) AS n FROM viol) v
+WHERE n = 1 GROUP BY violation_id // 2, CAST(detected_at AS DATE)"""))
+def _(spark, sf):
+    # three overlapping deliveries; two events of one day share an id, and an id of another day is another violation
+    v = d.violations(spark, sf).select(F.expr("violation_id div 2").alias("id"), "violation_id", "detected_at")
+    v = v.withColumn("key", F.concat_ws("|", "id", F.to_date("detected_at")))
+    path = work_path(spark, "by-day")
+    for part in ("violation_id % 3 < 2", "violation_id % 3 > 0", "true"):
+        sinks.insert_by_day(v.where(part), path, "key", ("violation_id",), "detected_at")
+    rows = spark.read.parquet(path)
+    return rows.groupBy(F.col("id").alias("violation_id"), F.date_trunc("day", "day").cast("timestamp_ntz").alias("day")).agg(F.count("*").alias("rows"))
+
+
 def _two_halves(spark, sf):
     v = d.violations(spark, sf)
     return reports.hourly_summary(v.where("violation_id % 2 = 0")), reports.hourly_summary(v.where("violation_id % 2 = 1"))

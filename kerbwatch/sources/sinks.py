@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,38 @@ def insert_new(batch: DataFrame, path: str, key: str = "violation_id", order: Se
     new_rows(batch, target, key, order).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+#: Days of one batch that become a partition filter; a batch over more days compares with the whole table.
+MAX_DAYS = 1000
+
+
+def new_on_days(batch: DataFrame, path: str, key: str = "violation_id", order: Sequence[str] = ("timestamp",),
+                time: str = "timestamp") -> DataFrame:
+    """Rows of ``batch`` to append to a table partitioned by ``day`` whose ids each belong to one day.
+
+    That holds for ids made from what happened when (``fields.violation_key``). Equal ids are looked for on the batch's own
+    days only, which reach the scan as partition filters, so the cost follows the batch and not the table.
+    """
+    spark = batch.sparkSession
+    rows = materialise(first_rows(batch, [key], order).withColumn("day", F.to_date(time)), "insert")
+    found = [r[0] for r in rows.select("day").distinct().limit(MAX_DAYS + 1).collect()]
+    try:
+        stored = spark.read.schema(rows.schema).parquet(path)
+    except AnalysisException as error:  # the table does not exist yet
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return rows
+    if len(found) <= MAX_DAYS:
+        days = [x for x in found if x is not None]
+        stored = stored.where(F.col("day").isin(days) | F.col("day").isNull() if None in found else F.col("day").isin(days))
+    return rows.join(stored.select(key), key, "left_anti")
+
+
+def insert_by_day(batch: DataFrame, path: str, key: str = "violation_id", order: Sequence[str] = ("timestamp",),
+                  time: str = "timestamp") -> None:
+    """Append unseen rows to a parquet table partitioned by day; the same batch again adds nothing."""
+    new_on_days(batch, path, key, order, time).write.mode("append").partitionBy("day").parquet(path)
+
+
 def jdbc_append(url: str, table: str, properties: dict[str, str] | None = None,
                 batch_rows: int = 1000) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function appending to a database table; each task commits or rolls back its rows."""
