@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbwatch.llm.common import look_up
 from kerbwatch.session import materialise
 
 BINS, BITS, WIDTH = 128, 8, 5
@@ -117,7 +116,7 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     changed = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    own, following = (F.struct(F.xxhash64(c), F.xxhash64(F.lit(1), c)) for c in ("text", "next_text"))
+    own, following = (F.concat_ws("-", F.hex(F.xxhash64(c)), F.hex(F.xxhash64(F.lit(1), c))) for c in ("text", "next_text"))
     return rows.select("key", own.alias("own_print"), following.alias("next_print"), n.cast("bigint").alias("n_chars"), "text",
                        changed.alias("edited"))
 
@@ -132,11 +131,9 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     rows = fingerprint(rows, "text", "fingerprint").drop("text")
     rows = fingerprint(rows, "edited", "edited_fingerprint").drop("edited")
     rows = materialise(rows, "fingerprints")
-    # a fingerprint depends on the text alone
+    # a fingerprint depends on the text alone; a text that follows very many rows is split by the adaptive skew join
     following = rows.groupBy(F.col("own_print").alias("next_print")).agg(F.min("fingerprint").alias("next_fingerprint"))
-    often = rows.groupBy("next_print").agg(F.count("*").alias("n"))
-    following = materialise(following.join(often, "next_print"), "next-fingerprints")
-    rows = look_up(rows, following, ["next_print"], "n", rows.count())
+    rows = rows.join(following, "next_print")
     return rows.select(F.col("key").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                        likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
                        likeness("fingerprint", "next_fingerprint").alias("near_next"))
