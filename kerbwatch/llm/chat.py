@@ -3,9 +3,9 @@
 Messages are rows (conversation, turn, role, text). A text that is a JSON object with ``tool_calls`` holds
 calls (``id``, ``name``, ``arguments``); one with ``tool_call_id`` is a result. Everything else is prose.
 Calls and results meet by a hash join on conversation and identifier. An argument ``{"$ref": id}`` makes a call
-wait for another call's result. Levels of this order are found by rounds over the whole table: each round
-settles the calls whose references are all settled, until nothing moves; what is left is a cycle or refers
-to nothing. Arguments are checked against a schema for each tool, and every message becomes one line of
+wait for another call's result. Chains of calls with one reference each are followed by pointer doubling to where
+they begin; calls with several references are settled by rounds, when all they refer to is settled, and carry the
+chains that begin at them. What is left is a cycle or refers to nothing. Arguments are checked against a schema for each tool, and every message becomes one line of
 canonical JSON (sorted keys, no spaces). A conversation is never gathered: its lines are rows ordered by
 (level, turn, part), however long it is.
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbwatch.llm.common import map_rows
@@ -93,23 +93,48 @@ def check(arguments: str, schema: dict | None) -> str | None:
     return None
 
 
+def _anchored(calls: DataFrame) -> DataFrame:
+    """conv_id, id, anchor and steps: the call without or with several references that a chain of single ones leads to.
+
+    Pointers are doubled, so rounds grow with the logarithm of the longest chain. When a round brings no call to its
+    anchor, those still on their way go round in a cycle; they and what refers to nothing are left out.
+    """
+    n = F.size("refs")
+    ends = calls.where(n != 1).select("conv_id", "id", F.col("id").alias("anchor"), F.lit(0).cast("bigint").alias("steps"))
+    open_ = calls.where(n == 1).select("conv_id", "id", F.get("refs", F.lit(0)).alias("ref"), F.lit(1).cast("bigint").alias("steps"))
+    ends, open_ = materialise(ends, "call-anchors"), materialise(open_, "call-pointers")
+    out = ends
+    while open_.take(1):
+        at = out.select("conv_id", F.col("id").alias("ref"), "anchor", F.col("steps").alias("behind"))
+        found = materialise(open_.join(at, ["conv_id", "ref"]).select("conv_id", "id", "anchor", (F.col("steps") + F.col("behind")).alias("steps")), "call-anchors")
+        if not found.take(1):
+            break
+        out = out.unionByName(found)
+        far = open_.select("conv_id", F.col("id").alias("ref"), F.col("ref").alias("next"), F.col("steps").alias("behind"))
+        left = open_.join(found.select("conv_id", "id"), ["conv_id", "id"], "left_anti")
+        # a reference to nothing has no further pointer and ends here
+        open_ = materialise(left.join(far, ["conv_id", "ref"]).select("conv_id", "id", F.col("next").alias("ref"), (F.col("steps") + F.col("behind")).alias("steps")),
+                            "call-pointers")
+    return out
+
+
 def _levels(calls: DataFrame) -> DataFrame:
     """conv_id, id, level: one more than the highest call referred to; null in cycles and after dangling ones."""
-    edges = calls.select("conv_id", "id", F.explode("refs").alias("ref"))
-    edges = materialise(edges, "call-references")
-    settled = materialise(calls.where(F.size("refs") == 0).select("conv_id", "id", F.lit(0).alias("level")), "call-levels")
-    waiting = materialise(calls.where(F.size("refs") > 0).select("conv_id", "id", F.size("refs").alias("n")), "calls-waiting")
-    out, newest = settled, settled
-    done = edges.limit(0).select("conv_id", "id", F.lit(0).cast("bigint").alias("met"), F.lit(0).alias("high"))
-    while newest.take(1) and waiting.take(1):
-        level = newest.select("conv_id", F.col("id").alias("ref"), "level")
+    chains = materialise(_anchored(calls), "call-chains")
+    none, several = F.size("refs") == 0, F.size("refs") > 1
+    newest = materialise(calls.where(none).select("conv_id", F.col("id").alias("anchor"), F.lit(0).cast("bigint").alias("high")), "call-levels")
+    waiting = materialise(calls.where(several).select("conv_id", "id", F.size("refs").alias("n")), "calls-waiting")
+    edges = materialise(calls.where(several).select("conv_id", "id", F.explode("refs").alias("ref")), "call-references")
+    out, done = newest, edges.limit(0).select("conv_id", "id", F.lit(0).cast("bigint").alias("met"), F.lit(0).cast("bigint").alias("high"))
+    while waiting.take(1) and newest.take(1):
+        level = chains.join(newest, ["conv_id", "anchor"]).select("conv_id", F.col("id").alias("ref"), (F.col("high") + F.col("steps")).alias("level"))
         met = edges.join(level, ["conv_id", "ref"]).groupBy("conv_id", "id").agg(F.count("*").alias("met"), F.max("level").alias("high"))
         done = materialise(done.unionByName(met).groupBy("conv_id", "id").agg(F.sum("met").alias("met"), F.max("high").alias("high")), "call-levels")
         ready = waiting.join(done, ["conv_id", "id"]).where("met = n")
-        newest = materialise(ready.select("conv_id", "id", (F.col("high") + 1).alias("level")), "call-levels")
-        waiting = materialise(waiting.join(newest, ["conv_id", "id"], "left_anti"), "calls-waiting")
+        newest = materialise(ready.select("conv_id", F.col("id").alias("anchor"), (F.col("high") + 1).alias("high")), "call-levels")
+        waiting = materialise(waiting.join(newest.select("conv_id", F.col("anchor").alias("id")), ["conv_id", "id"], "left_anti"), "calls-waiting")
         out = out.unionByName(newest)
-    return out
+    return chains.join(out, ["conv_id", "anchor"]).select("conv_id", "id", (F.col("high") + F.col("steps")).cast("int").alias("level"))
 
 
 def format_chat(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -131,13 +156,16 @@ def format_chat(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     facts = links.join(known, ["conv_id", "id"], "left").join(
         first.select("conv_id", F.col("kind").alias("k"), "id", "at"), ["conv_id", "id"])
     own = (F.col("at.turn") == F.col("turn")) & (F.col("at.body") == F.col("body")) & (F.col("at.part") == F.col("part"))
+    # of rows that repeat in everything one is the first place, the others are duplicates
+    same = Window.partitionBy("conv_id", "kind", "id", "turn", "part", "body").orderBy("role")
+    rows = rows.withColumn("copy", F.when(F.col("kind") == "prose", F.lit(1)).otherwise(F.row_number().over(same)))
     judged = rows.alias("r").join(facts.alias("f"), (F.col("r.conv_id") == F.col("f.conv_id")) & (F.col("r.id") == F.col("f.id"))
                                   & (F.col("r.kind") == F.col("f.k")), "left")
-    status = (F.when(F.col("kind") == "prose", "prose").when(~own, "duplicate")
+    status = (F.when(F.col("kind") == "prose", "prose").when(~own | (F.col("copy") > 1), "duplicate")
               .when((F.col("kind") == "result") & F.col("has_call").isNull(), "no call")
               .when((F.col("kind") == "call") & F.col("level").isNull(), "unordered")
               .when((F.col("kind") == "call") & F.col("has_result").isNull(), "no result").otherwise("linked"))
-    judged = judged.select("r.*", F.coalesce("level", F.lit(0)).alias("level"), status.alias("status"))
+    judged = judged.select("r.*", F.coalesce("level", F.lit(0)).alias("level"), status.alias("status")).drop("copy")
 
     def make():
         def line(conv, turn, part, role, kind, id_, name, body_, level, status_):
@@ -158,19 +186,31 @@ def format_chat(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
 def as_tool_chat(turns: DataFrame) -> DataFrame:
     """Conversation turns as tool traffic: a user's turn becomes a call, the assistant's next turn its result.
 
-    Some calls refer to the call before them; this depends on the text, so that chains stay short. It is how the
-    benchmark table, which has no tools, gets something to link.
+    Every call refers to the call before it, if there can be one, so chains are as long as conversations. By a checksum
+    of the text some calls refer to themselves, to two calls, take the identifier of the call before, name no known tool, or
+    have arguments that their schema does not allow. It is how the benchmark table, which has no tools, gets something to link.
     """
-    call_id = F.concat_ws("-", "conv_id", "turn")
-    refers = (F.col("turn") >= 2) & (F.crc32(F.coalesce("text", F.lit(""))) % 2 == 0)
-    before: Column = F.concat_ws("-", F.col("conv_id"), F.col("turn") - 2)
-    arguments = F.struct(F.coalesce("text", F.lit("")).alias("query"), F.length(F.coalesce("text", F.lit(""))).alias("size"),
-                         F.when(refers, F.struct(before.alias("$ref"))).alias("after"))
-    call = F.to_json(F.struct(F.array(F.struct(call_id.alias("id"), F.lit("ask").alias("name"), arguments.alias("arguments"))).alias("tool_calls")))
-    result = F.to_json(F.struct(F.concat_ws("-", F.col("conv_id"), F.col("turn") - 1).alias("tool_call_id"), F.coalesce("text", F.lit("")).alias("content")))
+    said = F.coalesce("text", F.lit(""))
+    lot = F.crc32(F.concat_ws("|", F.col("conv_id").cast("string"), F.col("turn").cast("string"), said))
+
+    def at(back: int) -> Column:
+        return F.concat_ws("-", F.col("conv_id"), F.col("turn") - back)
+
+    def ref(target: Column) -> Column:
+        return F.struct(target.alias("$ref"))
+
+    later = F.col("turn") >= 2
+    call_id = F.when(later & (lot % 53 == 3), at(2)).otherwise(at(0))
+    after = F.when(later, ref(F.when(lot % 101 == 4, call_id).otherwise(at(2))))
+    arguments = F.struct(
+        F.when(lot % 59 != 5, said).alias("query"), F.when(lot % 61 == 6, F.length(said).cast("string")).alias("size_text"),
+        F.when(lot % 61 != 6, F.length(said)).alias("size"), after.alias("after"), F.when((F.col("turn") >= 4) & (lot % 43 == 7), ref(at(4))).alias("also"))
+    name = F.when(lot % 67 == 8, "tell").otherwise("ask")
+    call = F.to_json(F.struct(F.array(F.struct(call_id.alias("id"), name.alias("name"), arguments.alias("arguments"))).alias("tool_calls")))
+    result = F.to_json(F.struct(at(1).alias("tool_call_id"), said.alias("content")))
     text = F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(F.col("text"))
     return turns.select("conv_id", "turn", "role", text.alias("text"))
 
 
 ASK = {"ask": {"required": ["query", "size"], "closed": True,
-               "properties": {"query": {"type": "string"}, "size": {"type": "integer"}, "after": {"type": "object"}}}}
+               "properties": {"query": {"type": "string"}, "size": {"type": "integer"}, "after": {"type": "object"}, "also": {"type": "object"}}}}

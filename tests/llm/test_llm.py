@@ -2,11 +2,13 @@
 
 import hashlib
 import re
+import sys
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from kerbwatch.llm import chat, decontam, langid, longdup, pieces, pii, prints, queries, simhash, toxicity, urls
@@ -285,6 +287,59 @@ def test_chat(spark):
     assert got[1, 2].json == '{"content":{"a":2,"b":1},"id":"a","role":"tool","type":"result"}' and got[2, 0].json == '{"content":"","role":"user","type":"prose"}'
 
 
+def test_chat_against_brute_force(spark):
+    """The registered query's rows: links, levels, errors and statuses of every part, worked out one by one."""
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    columns = ["conv_id", "turn", "role", "text"]
+    call = """concat('{"tool_calls": [{"id": "', id, '", "name": "ask", "arguments": {"query": "q", "size": 1', {}, '}}]}')"""
+    refs = ["CASE WHEN id = 0 THEN '' ELSE concat(', \"after\": {\"$ref\": \"', id - 1, '\"}') END",  # one long chain
+            "CASE WHEN id < 2 THEN '' ELSE concat(', \"after\": [{\"$ref\": \"', id - 1, '\"}, {\"$ref\": \"', id - 2, '\"}]') END",
+            "concat(', \"after\": {\"$ref\": \"', 1 - id, '\"}')"]  # two that wait for each other
+    kind = turns.schema["turn"].dataType.simpleString()
+    long = [spark.range(0, n).selectExpr(f"{999_990 + k}L AS conv_id", f"cast(id AS {kind}) AS turn", "'assistant' AS role", call.replace(", {}, ", f", {r}, ") + " AS text") for k, (n, r) in enumerate(zip((600, 6, 2), refs))]
+    messages = chat.as_tool_chat(turns.select(columns).unionByName(turns.where("conv_id % 5 = 0").select(columns)))
+    messages = materialise(messages.unionByName(long[0]).unionByName(long[1]).unionByName(long[2]), "tool-chat")
+    rows = [(r.conv_id, r.turn, r.role, i, *p) for r in messages.collect() for i, p in enumerate(chat.parts_of(r.text))]
+    first = {}
+    for c, t, role, i, kind, ident, name, body, refs in rows:
+        if kind != "prose":
+            first[c, kind, ident] = min(first.get((c, kind, ident), (t, body, i, role, refs)), (t, body, i, role, refs))
+    level = {}
+    sys.setrecursionlimit(10_000)
+
+    def find(c, ident, path):
+        if (c, ident) not in level:
+            call = first.get((c, "call", ident))
+            if call is None or ident in path:
+                return None
+            below = [find(c, r, path | {ident}) for r in call[4]]
+            level[c, ident] = None if None in below else 1 + max(below, default=-1)
+        return level[c, ident]
+
+    want, taken = Counter(), set()
+    for c, t, role, i, kind, ident, name, body, refs in rows:
+        deep = find(c, ident, frozenset()) if kind != "prose" else None
+        if kind == "prose":
+            status = "prose"
+        elif first[c, kind, ident][:3] != (t, body, i) or (c, kind, ident) in taken:
+            status = "duplicate"
+        elif kind == "result" and (c, "call", ident) not in first:
+            status = "no call"
+        elif kind == "call" and deep is None:
+            status = "unordered"
+        elif kind == "call" and (c, "result", ident) not in first:
+            status = "no result"
+        else:
+            status = "linked"
+        taken.add((c, kind, ident))
+        want[c, t, i, kind, ident, deep or 0, status, chat.check(body, chat.ASK.get(name)) if kind == "call" else None] += 1
+    got = chat.format_chat(messages, chat.ASK).collect()
+    assert Counter((r.conv_id, r.turn, r.part, r.kind, r.id, r.level, r.status, r.error) for r in got) == want
+    assert {"linked", "duplicate", "unordered", "no result"} <= {k[6] for k in want} and max(k[5] for k in want) == 599
+    assert {"unknown tool", "missing query", "missing size"} & {k[7] for k in want}
+    assert chat.format_chat(messages.where("false"), chat.ASK).count() == 0
+
+
 def test_fingerprints(spark, odd, none):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()))
