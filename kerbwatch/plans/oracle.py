@@ -100,6 +100,10 @@ USES = {
 }
 
 
+#: Views that several others or both sides of a join read: computed once.
+SHARED = {"det", "cl", "edges", "zoned", "sided", "persons", "bikes", "helmets", "heads"}
+
+
 def sql_with(views: str, body: str, recursive: bool = False) -> str:
     """``body`` under the named views and whatever they use."""
     order: list[str] = []
@@ -113,7 +117,7 @@ def sql_with(views: str, body: str, recursive: bool = False) -> str:
     for name in views.split():
         need(name)
     head = "WITH RECURSIVE " if recursive else "WITH "
-    return head + ", ".join(f"{n} AS ({VIEWS[n].strip()})" for n in order) + "\n" + body.strip()
+    return head + ", ".join(f"{n} AS {'MATERIALIZED ' if n in SHARED else ''}({VIEWS[n].strip()})" for n in order) + "\n" + body.strip()
 
 
 def iou(a: str, b: str) -> str:
