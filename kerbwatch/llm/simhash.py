@@ -13,12 +13,10 @@ links it found, never all pairs, and stops walking node pairs whose fingerprints
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

@@ -8,7 +8,6 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from kerbwatch.llm import chat, decontam, langid, longdup, pieces, pii, prints, queries, simhash, toxicity, urls
