@@ -51,18 +51,21 @@ def _(spark, sf):
     return relate.heads_to_persons(heads, persons)
 
 
-@query("d04_heads_to_persons_exact", recursive("heads persons", f"""
-, wishes AS MATERIALIZED (SELECT h.camera_id, h.frame_number, h.det_id, list(p.det_id ORDER BY p.det_id) FILTER (p.det_id IS NOT NULL) AS fit,
+_HEADS = f"""
+, head_wishes AS MATERIALIZED (SELECT h.camera_id, h.frame_number, h.det_id, list(p.det_id ORDER BY p.det_id) FILTER (p.det_id IS NOT NULL) AS fit,
     row_number() OVER (PARTITION BY h.camera_id, h.frame_number ORDER BY h.det_id) AS n
   FROM heads h LEFT JOIN persons p ON h.camera_id = p.camera_id AND h.frame_number = p.frame_number AND {head_in('h', 'p')}
   GROUP BY h.camera_id, h.frame_number, h.det_id),
-walk AS (
-  SELECT camera_id, frame_number, n, det_id, fit[1] AS got, [fit[1]] AS used FROM wishes WHERE n = 1
+head_walk AS (
+  SELECT camera_id, frame_number, n, det_id, fit[1] AS got, [fit[1]] AS used FROM head_wishes WHERE n = 1
   UNION ALL
   SELECT camera_id, frame_number, n, det_id, got, list_append(used, got) FROM (
     SELECT s.*, w.used, list_filter(s.fit, lambda p: NOT coalesce(list_contains(w.used, p), false))[1] AS got
-    FROM walk w JOIN wishes s ON s.camera_id = w.camera_id AND s.frame_number = w.frame_number AND s.n = w.n + 1) a)
-SELECT camera_id, frame_number, det_id AS head_det_id, got AS person_det_id FROM walk"""))
+    FROM head_walk w JOIN head_wishes s ON s.camera_id = w.camera_id AND s.frame_number = w.frame_number AND s.n = w.n + 1) a),
+head_match AS MATERIALIZED (SELECT camera_id, frame_number, det_id AS head_det_id, got AS person_det_id FROM head_walk)"""
+
+
+@query("d04_heads_to_persons_exact", recursive("heads persons", _HEADS, "\nSELECT * FROM head_match"))
 def _(spark, sf):
     persons, _, _, heads = _groups(spark, sf)
     return relate.assign_heads(heads, persons).drop("person")
@@ -92,19 +95,22 @@ def _(spark, sf):
         F.col("rider_rank").cast("bigint").alias("rider_rank"))
 
 
-@query("d06_riders_exact", recursive("persons bikes", f"""
-, wishes AS MATERIALIZED (SELECT v.camera_id, v.frame_number, v.det_id, list(p.det_id ORDER BY
+_RIDERS = f"""
+, rider_wishes AS MATERIALIZED (SELECT v.camera_id, v.frame_number, v.det_id, list(p.det_id ORDER BY
       {iou('p', 'v')} + CASE WHEN {feet_in('p', 'v')} THEN 0.1e0 ELSE 0.0e0 END DESC, p.det_id) AS fit,
     row_number() OVER (PARTITION BY v.camera_id, v.frame_number ORDER BY v.det_id) AS n
   FROM bikes v JOIN persons p ON p.camera_id = v.camera_id AND p.frame_number = v.frame_number
     AND ({iou('p', 'v')} >= 0.15e0 OR {feet_in('p', 'v')}) GROUP BY v.camera_id, v.frame_number, v.det_id),
-walk AS (
-  SELECT camera_id, frame_number, n, det_id, fit[1:3] AS got, fit[1:3] AS used FROM wishes WHERE n = 1
+rider_walk AS (
+  SELECT camera_id, frame_number, n, det_id, fit[1:3] AS got, fit[1:3] AS used FROM rider_wishes WHERE n = 1
   UNION ALL
   SELECT camera_id, frame_number, n, det_id, got, list_concat(used, got) FROM (
     SELECT s.*, w.used, list_filter(s.fit, lambda p: NOT list_contains(w.used, p))[1:3] AS got
-    FROM walk w JOIN wishes s ON s.camera_id = w.camera_id AND s.frame_number = w.frame_number AND s.n = w.n + 1) a)
-SELECT camera_id, frame_number, det_id AS vehicle_det_id, unnest(got) AS person_det_id FROM walk"""))
+    FROM rider_walk w JOIN rider_wishes s ON s.camera_id = w.camera_id AND s.frame_number = w.frame_number AND s.n = w.n + 1) a),
+rider_match AS MATERIALIZED (SELECT camera_id, frame_number, det_id AS vehicle_det_id, unnest(got) AS person_det_id FROM rider_walk)"""
+
+
+@query("d06_riders_exact", recursive("persons bikes", _RIDERS, "\nSELECT * FROM rider_match"))
 def _(spark, sf):
     persons, vehicles, _, _ = _groups(spark, sf)
     return relate.assign_riders(persons, vehicles).drop("wish", "person")
@@ -518,6 +524,69 @@ def _(spark, sf):
     return lanes.lane_violations_on_tracks(_on_tracks(spark, sf), _scaled(spark), classes=VEHICLES)
 
 
+_TWIN = "OVER (PARTITION BY camera_id, frame_number, x, y, w, h ORDER BY det_id)"
+_SURE = "least(0.99e0, greatest(0.1e0, {} * 0.25e0 + {} * 0.25e0 + {} * 0.5e0))"
+
+HELMETS = recursive("heads persons bikes helmets", _HEADS, _RIDERS, f"""
+, twins AS MATERIALIZED (SELECT *, first_value(det_id) {_TWIN} AS first_id, first_value(conf) {_TWIN} AS first_conf FROM persons),
+mounts AS MATERIALIZED (SELECT *, first_value(conf) {_TWIN} AS first_conf FROM bikes),
+standing AS (SELECT h.camera_id, h.frame_number, h.ts_sec, h.det_id, h.conf AS head_conf, p.conf AS person_conf, p.det_id AS person,
+    h.x AS hx, h.y AS hy, h.w AS hw, h.h AS hh, coalesce(p.x, h.x) AS x, coalesce(p.y, h.y) AS y, coalesce(p.w, h.w) AS w, coalesce(p.h, h.h) AS h
+  FROM heads h JOIN head_match m ON m.camera_id = h.camera_id AND m.frame_number = h.frame_number AND m.head_det_id = h.det_id
+  LEFT JOIN persons p ON p.camera_id = h.camera_id AND p.frame_number = h.frame_number AND p.det_id = m.person_det_id),
+direct AS (SELECT s.camera_id, s.frame_number, s.ts_sec, true AS direct, s.det_id AS place, 0.0e0 AS wish, CAST(0 AS BIGINT) AS rider, any_value(person) AS person,
+    any_value(s.x) AS x, any_value(s.y) AS y, any_value(s.w) AS w, any_value(s.h) AS h, any_value(hx + hw / 2.0e0) AS cx, any_value(hy + hh / 2.0e0) AS cy,
+    any_value(person_conf) AS person_conf, any_value(head_conf) AS head_conf, arg_min(v.conf, v.det_id) AS vehicle_conf
+  FROM standing s LEFT JOIN bikes v ON v.camera_id = s.camera_id AND v.frame_number = s.frame_number AND ({iou('s', 'v')} >= 0.15e0 OR {feet_in('s', 'v')})
+  GROUP BY s.camera_id, s.frame_number, s.ts_sec, s.det_id),
+guarded AS (SELECT DISTINCT p.camera_id, p.frame_number, p.det_id FROM (SELECT camera_id, frame_number, det_id, {strip('q')} FROM persons q) p
+  JOIN helmets k ON k.camera_id = p.camera_id AND k.frame_number = p.frame_number AND {iou('k', 'p')} >= 0.15e0),
+fallback AS (SELECT p.camera_id, p.frame_number, p.ts_sec, p.det_id AS rider, v.det_id AS place, p.first_id AS person,
+    -({iou('p', 'v')} + CASE WHEN {feet_in('p', 'v')} THEN 0.1e0 ELSE 0.0e0 END) AS wish, p.x, p.y, p.w, p.h, p.first_conf AS person_conf, v.first_conf AS vehicle_conf,
+    k.det_id IS NOT NULL AS has_helmet
+  FROM rider_match r JOIN twins p ON p.camera_id = r.camera_id AND p.frame_number = r.frame_number AND p.det_id = r.person_det_id
+  JOIN mounts v ON v.camera_id = r.camera_id AND v.frame_number = r.frame_number AND v.det_id = r.vehicle_det_id
+  LEFT JOIN guarded k ON k.camera_id = p.camera_id AND k.frame_number = p.frame_number AND k.det_id = p.det_id
+  WHERE NOT EXISTS (SELECT 1 FROM head_match m WHERE m.camera_id = p.camera_id AND m.frame_number = p.frame_number AND m.person_det_id = p.first_id)),
+asked AS (
+  SELECT camera_id, frame_number, ts_sec, direct, place, wish, rider, person, x, y, w, h, cx, cy, false AS has_helmet,
+    CASE WHEN vehicle_conf IS NULL THEN sure ELSE least(0.99e0, sure + 0.1e0) END AS confidence,
+    CASE WHEN vehicle_conf IS NULL THEN 'head_only_detection' ELSE 'direct_no_helmet' END AS method, vehicle_conf IS NOT NULL AS on_vehicle
+  FROM (SELECT *, {_SURE.format('coalesce(person_conf, 0.6e0)', 'coalesce(vehicle_conf, 0.3e0)', 'head_conf')} AS sure FROM direct) d
+  UNION ALL
+  SELECT camera_id, frame_number, ts_sec, false, place, wish, rider, person, x, y, w, h, x + w / 2.0e0, y + h / 2.0e0, has_helmet,
+    {_SURE.format('person_conf', 'vehicle_conf', '0.6e0')}, 'fallback_no_helmet', true FROM fallback),
+spaced AS (SELECT *, ts_sec - lag(ts_sec) OVER (PARTITION BY camera_id ORDER BY ts_sec, frame_number) AS pause FROM asked),
+scenes AS (SELECT *, sum(CASE WHEN pause < 3 THEN 0 ELSE 1 END) OVER (PARTITION BY camera_id ORDER BY ts_sec, frame_number ROWS UNBOUNDED PRECEDING) AS piece0 FROM spaced),
+turns AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY camera_id, piece
+    ORDER BY ts_sec, frame_number, CASE WHEN direct THEN 1 ELSE 2 END, place, wish, rider) AS n
+  FROM (SELECT *, max(piece0) OVER (PARTITION BY camera_id, ts_sec, frame_number) AS piece FROM scenes) z),
+start AS (SELECT DISTINCT camera_id, piece FROM turns),
+rule AS (
+  SELECT camera_id, piece, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS frame, CAST(NULL AS BIGINT) AS track, false AS violation, CAST(0 AS BIGINT) AS used,
+    [{{'id': CAST(0 AS BIGINT), 'x': 0.0e0, 'y': 0.0e0, 't': -1e9}}] AS live, [{{'t': -1e9, 'k': CAST(0 AS BIGINT), 'x': 0.0e0, 'y': 0.0e0}}] AS recent,
+    [CAST(-1 AS BIGINT)] AS done FROM start
+  UNION ALL
+  SELECT camera_id, piece, n, frame_number, track, violation, CASE WHEN counts THEN used + 1 ELSE used END,
+    CASE WHEN direct OR skip THEN live WHEN hit THEN list_transform(live, lambda k: CASE WHEN k.id = best.id THEN {{'id': k.id, 'x': cx, 'y': cy, 't': ts_sec}} ELSE k END)
+      ELSE list_append(live, {{'id': used + 1, 'x': cx, 'y': cy, 't': ts_sec}}) END,
+    CASE WHEN violation THEN list_append(recent, {{'t': ts_sec, 'k': track, 'x': cx, 'y': cy}}) ELSE recent END,
+    CASE WHEN NOT direct AND NOT skip AND (has_helmet OR violation) THEN list_append(done, person) ELSE done END
+  FROM (SELECT *, NOT skip AND NOT has_helmet AND NOT seen AS violation, CASE WHEN direct THEN NOT seen ELSE NOT skip AND NOT hit END AS counts FROM (
+    SELECT *, len(list_filter(recent, lambda r: r.k = track OR sqrt(pow(cx - r.x, 2) + pow(cy - r.y, 2)) < 50)) > 0 AS seen FROM (
+      SELECT *, CASE WHEN direct OR NOT hit THEN used + 1 ELSE best.id END AS track FROM (
+        SELECT *, NOT direct AND list_contains(done, person) AS skip, NOT direct AND coalesce(best.d <= 80, false) AS hit FROM (
+          SELECT s.*, r.used, list_filter(r.recent, lambda q: s.ts_sec - q.t < 3) AS recent,
+            CASE WHEN s.direct THEN r.live ELSE list_filter(r.live, lambda k: s.ts_sec - k.t <= 1) END AS live,
+            CASE WHEN r.frame = s.frame_number THEN r.done ELSE [CAST(-1 AS BIGINT)] END AS done,
+            list_sort(list_transform(list_filter(r.live, lambda k: s.ts_sec - k.t <= 1), lambda k: {{'d': sqrt(pow(s.cx - k.x, 2) + pow(s.cy - k.y, 2)), 'id': k.id}}))[1] AS best
+          FROM rule r JOIN turns s ON s.camera_id = r.camera_id AND s.piece = r.piece AND s.n = r.n + 1) a) b) c) d) e),
+offsets AS (SELECT camera_id, piece, sum(most) OVER (PARTITION BY camera_id ORDER BY piece) - most AS ahead
+  FROM (SELECT camera_id, piece, max(used) AS most FROM rule GROUP BY ALL) u),
+bare AS (SELECT s.*, CAST(r.track + ahead AS BIGINT) AS track_id FROM rule r JOIN turns s ON s.camera_id = r.camera_id AND s.piece = r.piece AND s.n = r.n
+  JOIN offsets o ON o.camera_id = r.camera_id AND o.piece = r.piece WHERE violation)""")
+
+
 # ---------------------------------------------------------------- records and messages
 
 
@@ -611,12 +680,20 @@ def _(spark, sf):
                        F.get(place, F.lit(1)).alias("py"), r6("metadata.distance_to_line").alias("distance"))
 
 
-@query("m06_helmet_records")
+@query("m06_helmet_records", HELMETS + f"""
+SELECT violation_id, moment AS timestamp, camera_id, track_id, frame_number, 'no_helmet' AS violation_type, CAST(NULL AS VARCHAR) AS vehicle_type,
+  CAST(NULL AS VARCHAR) AS traffic_light_state, CAST(NULL AS VARCHAR) AS crossed_line_type, CAST(NULL AS INT) AS line_id, CAST(NULL AS VARCHAR) AS from_side,
+  CAST(NULL AS VARCHAR) AS to_side, round(confidence, 6) AS confidence, {_BOXES}, {_PATH.format(folder='violations', prefix='helmet')} AS image_path,
+  moment AS created_at FROM ({_stamped('SELECT * FROM bare', 'no_helmet')}) s""")
 def _(spark, sf):
-    return _plain_times(_helmet_records(spark, sf))
+    return _plain_times(_helmet_records(spark, sf)).withColumn("confidence", r6("confidence"))
 
 
-@query("m06_helmet_messages")
+@query("m06_helmet_messages", HELMETS + f"""
+SELECT violation_id, s.camera_id, strftime(moment, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, track_id, s.frame_number, x, y, w, h, round(confidence, 6) AS confidence,
+  method AS detection_method, CAST(persons_detected AS INT) AS persons_detected, CAST(no_helmets_detected AS INT) AS no_helmets_detected
+FROM ({_stamped('SELECT * FROM bare', 'no_helmet')}) s JOIN (SELECT camera_id, frame_number, count(*) FILTER (class_id = 0) AS persons_detected,
+  count(*) FILTER (class_id = 7) AS no_helmets_detected FROM cl GROUP BY ALL) c ON c.camera_id = s.camera_id AND c.frame_number = s.frame_number""")
 def _(spark, sf):
     good, _ = records.read_messages(records.messages(_helmet_records(spark, sf), records.HELMET), records.HELMET)
     return good.select("violation_id", "camera_id", "timestamp", "track_id", "frame_number", "bounding_box.*", r6("confidence").alias("confidence"),
@@ -654,7 +731,8 @@ def _(spark, sf):
                     helmet.direct_method(F.col("vehicle_conf").isNotNull()).alias("method"))
 
 
-@query("i05_helmet_violations")
+@query("i05_helmet_violations", HELMETS + """
+SELECT camera_id, frame_number, ts_sec, track_id, x, y, w, h, round(confidence, 6) AS confidence, method, on_vehicle FROM bare""")
 def _(spark, sf):
     out = helmet.helmet_violations(_boxes(spark, sf))
     return out.select("camera_id", "frame_number", "ts_sec", "track_id", "box.*", r6("confidence").alias("confidence"),

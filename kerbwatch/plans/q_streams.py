@@ -12,7 +12,7 @@ from kerbwatch.functions import geometry as g
 from kerbwatch.operators import helmet, redlight, rules, tracking
 from kerbwatch.plans import derived as d
 from kerbwatch.plans.oracle import sql_with
-from kerbwatch.plans.q_relations import REPEATS, TRACKS
+from kerbwatch.plans.q_relations import HELMETS, REPEATS, TRACKS
 from kerbwatch.plans.registry import query
 from kerbwatch.session import materialise, work_path
 from kerbwatch.sources import config, frames
@@ -256,7 +256,7 @@ def _(spark, sf):
     return out.groupBy("camera_id").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("frame_number")).alias("frames"))
 
 
-@query("i05_helmet_stream")
+@query("i05_helmet_stream", HELMETS + "\nSELECT camera_id, frame_number, ts_sec, track_id, method FROM bare")
 def _(spark, sf):
     found = helmet.ordered_candidates(d.boxes(spark, sf)).select(
         "camera_id", *helmet.ORDER, "ts_sec", "method", *(c for c in rules.HelmetWatch.inputs if c not in helmet.ORDER))
