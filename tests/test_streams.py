@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kerbwatch.operators import rules
 from kerbwatch.plans import derived
 from kerbwatch.sources import config
-from kerbwatch.streaming import jobs
+from kerbwatch.streaming import jobs, stateful
 
 SCHEMA = "camera_id string, track_id bigint, ts timestamp, ts_sec double, det_id bigint"
 START = dt.datetime(2024, 1, 1)
@@ -89,3 +89,63 @@ def test_separate_consumers(spark, tmp_path):
 
     jobs.drain(jobs.separate_consumers(source, {"one": lambda df: df.where("track_id = 1"), "all": lambda df: df}, start))
     assert spark.read.parquet(str(tmp_path / "one")).count() == 1 and spark.read.parquet(str(tmp_path / "all")).count() == 2
+
+
+class Slot:
+    """A state variable that counts how often it is asked."""
+
+    def __init__(self, calls):
+        self.value, self.calls = None, calls
+
+    def exists(self):
+        self.calls.append("exists")
+        return self.value is not None
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    put = update
+
+    def clear(self):
+        self.update(None)
+
+
+def test_state_calls_do_not_grow_with_frames():
+    rule = rules.Tracker()
+    step = stateful.FrameByFrame(rule, ["ts_sec", "frame_number", "det_id", *rule.inputs], ["frame_number", "det_id"], ["det_id"],
+                                 ["track_id", "is_new"], ["camera_id", "det_id", "track_id", "is_new", "is_late"])
+    calls = []
+    step.slots, step.meta = Slot(calls), Slot(calls)
+
+    def frames(first, n):
+        return [{"_ts_sec": [float(i)] * 2, "_frame_number": [i, i], "_det_id": [2 * i, 2 * i + 1], "_cx": [0.0, 500.0], "_cy": [0.0, 0.0]}
+                for i in reversed(range(first, first + n))]
+
+    out = list(step.handleInputRows(("a",), iter(frames(0, 1000)), None))
+    few = len(calls)
+    out += step.handleInputRows(("a",), iter(frames(1000, 10)), None)
+    assert few <= 6 and len(calls) <= 12
+    assert [tuple(r)[1:] for r in out] == [(i, 1 + i % 2, i < 2, False) for i in range(2020)]
+    assert [tuple(r)[1:] for r in step.handleInputRows(("a",), iter(frames(1000, 1)), None)] == [(2000, None, None, True), (2001, None, None, True)]
+
+
+def test_frames_over_several_batches_and_rows_without_a_time(spark, tmp_path):
+    schema = "camera_id string, ts timestamp, ts_sec double, frame_number bigint, det_id bigint, cx double, cy double"
+
+    def box(camera, i, det, cx):
+        return camera, START + dt.timedelta(seconds=i), float(i), i, det, cx, 0.0
+
+    parts = [[box("a", 1, 2, 300.0), box("a", 1, 1, 0.0), box("b", 1, 3, 0.0)], [box("a", 2, 4, 310.0), ("a", None, None, 2, 9, 0.0, 0.0)],
+             [box("a", 2, 5, 10.0), box("b", 3, 6, 20.0)], [box("a", 500, 7, 0.0), box("b", 500, 8, 0.0)], [box("a", 5000, 10, 0.0)]]
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "src" / f"in-{i}"))
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "src"))
+    stream = stateful.rule_stream(source, rules.Tracker(), ["camera_id"], ["frame_number", "det_id"], ["det_id"], delay="100 seconds")
+    assert sorted(map(tuple, drained(stream, str(tmp_path)))) == [
+        ("a", 1, 1, True, False), ("a", 2, 2, True, False), ("a", 4, 2, False, False), ("a", 5, 1, False, False), ("a", 7, 3, True, False),
+        ("a", 9, None, None, True), ("b", 3, 1, True, False), ("b", 6, 1, False, False), ("b", 8, 2, True, False)]
