@@ -9,7 +9,7 @@ together, which bounds what goes to every task. A gram that is left out falls ba
 
 A text belongs to the language with the lowest cross-entropy per character. It is rejected if that lies above
 what the language's own texts have: mean plus ``MARGIN`` nats, or for short texts plus ``Z`` standard errors. Mean and
-deviation are measured by scoring about ``SAMPLE`` training texts of each language with the finished model.
+deviation are measured by scoring every training text with the finished model.
 
 Null texts and texts without a letter are ``und`` with score 0 and rejected. Null languages are not learned
 from; with nothing to learn from every text is ``und``. Ties go to the language first in order.
@@ -29,8 +29,8 @@ from kerbwatch.session import materialise, ship_package
 
 ENTRIES = 1 << 21
 PER_LANGUAGE = 1 << 18
-#: Training texts of a language by which its limit is set, about, and the fewest that are enough for it.
-SAMPLE, FEWEST = 1000, 20
+#: The fewest training texts of a language that are enough to set its limit.
+FEWEST = 20
 MARGIN, Z = 1.0, 8.0
 #: Characters handled together, and distinct 4-grams a task holds before it passes them on.
 BLOCK, HELD = 1 << 20, 1 << 20
@@ -239,9 +239,6 @@ def _calibrated(docs: DataFrame, model: dict, text: str, lang: str) -> dict:
     """``model`` with mean and deviation of texts of each language, where there are enough of them."""
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), raw(text).alias("raw"))
     rows = rows.where("raw IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    lot = F.pmod(F.xxhash64("raw"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    some = rows.join(F.broadcast(sizes), "lang").where(lot * F.col("n") < SAMPLE).select("lang", "raw")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,11 +248,11 @@ def _calibrated(docs: DataFrame, model: dict, text: str, lang: str) -> dict:
             for lo in range(0, batch.num_rows, 256):
                 names, values = (c.to_pylist() for c in batch.slice(lo, 256).columns)
                 ce, n = _cross_entropies(values, m, table)
-                rows = [(name, ce[i, number[name]], int(n[i])) for i, name in enumerate(names) if n[i] and name in number]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["lang", "ce", "chars"])
+                found = [(name, ce[i, number[name]], int(n[i])) for i, name in enumerate(names) if n[i] and name in number]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], names=["lang", "ce", "chars"])
 
-    scored = materialise(some.mapInArrow(body, "lang string, ce double, chars bigint"), "calibration")
+    scored = materialise(rows.mapInArrow(body, "lang string, ce double, chars bigint"), "calibration")
     shared.destroy()
     mean = scored.groupBy("lang").agg((F.sum(F.col("ce") * F.col("chars")) / F.sum("chars")).alias("mean"))
     off = F.col("chars") * (F.col("ce") - F.col("mean")) ** 2

@@ -400,3 +400,12 @@ def test_pipeline(spark):
     assert last.count() == docs.count() and last.where("NOT lossless").count() == 0
     left = decontam.report(docs, spark.read.parquet(f"{SMALL}/benchmark.parquet"))
     assert left.where("contaminated").count() == 0
+
+
+def test_language_limits_come_from_all_training_texts(spark, monkeypatch):
+    texts = ["the cat sat on the mat and the dog lay by the door " * (1 + i % 3) + "abcdefghij"[i % 10] * 3 for i in range(3000)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    model = langid.fit(docs)
+    ce, n = langid._cross_entropies([t.encode() for t in texts], model, langid.alphabet())
+    mean = np.average(ce[:, 0], weights=n)
+    assert np.isclose(model["mean"][0], mean) and np.isclose(model["deviation"][0], np.sqrt(np.mean(n * (ce[:, 0] - mean) ** 2)))
