@@ -3,7 +3,7 @@
 The base kinds are stated patterns with a check (parts of an address, Luhn, number of digits); their spans always
 stay. High-recall generators propose further, overlapping spans: digit groups with any separators, and addresses
 spelled with "at" and "dot". Gradient-boosted trees (Spark ML) judge a candidate by its format and the words before it. They
-learn from at most about ``SAMPLE`` documents. Examples for are base spans written in forms that no base pattern
+learn from all documents; examples with the same features count as one with a weight. Examples for are base spans written in forms that no base pattern
 finds (spelled out, without plus, other separators), within the words around them; examples against are numbers that fail
 Luhn, dates, amounts and ids. Numbers without a valid kind are never taken, and real candidates that are neither are
 not learned from. Each kind has its own threshold, calibrated on its examples: the least score from which on at least
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from kerbwatch.session import materialise
 
-SAMPLE, PRECISION = 4_000, 0.98
+PRECISION = 0.98
 TREES, DEPTH = 8, 3
 KINDS = ("email", "ip", "card", "phone")
 PATTERN = {
@@ -43,8 +43,6 @@ _NEAR = 24
 _BLOCK = 64
 FEATURES = ("digits", "marks", "size", "plus", "parens", "dots", "spelled", "word", "group", "cued", "luhn", "date")
 DATE = r"^(?:(?:19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19|20)[0-9]{2})(?![0-9])"
-#: Base spans of one document that are written in other forms.
-_SHOWN = 20
 SPAN = "array<struct<a:int,b:int,m:string>>"
 
 
@@ -171,10 +169,10 @@ def _numbers(m: Column, card: bool) -> list[Column]:
 
 
 def examples(chosen: DataFrame) -> DataFrame:
-    """Features, kind and label of the candidates to learn from, of documents with ``_text`` and base spans."""
+    """Features, kind, label and number n of the candidates to learn from, of documents with ``_text`` and base spans."""
     shown = []
     for kind in KINDS:
-        each = chosen.select("_text", F.explode(F.slice(f"_{kind}", 1, _SHOWN)).alias("s"))
+        each = chosen.select("_text", F.explode(f"_{kind}").alias("s"))
         near = F.substring(F.col("_text"), F.greatest(F.col("s.a") - _NEAR + 1, F.lit(1)), F.least(F.col("s.a"), F.lit(_NEAR)))
         # words of the same text from anywhere
         far = F.substring(F.col("_text"), F.pmod(F.xxhash64("s.m"), F.greatest(F.length("_text"), F.lit(1))).cast("int") + 1, F.lit(_NEAR))
@@ -190,28 +188,30 @@ def examples(chosen: DataFrame) -> DataFrame:
         both = both.unionByName(more)
     both = both.select(F.concat("e.before", "e.v", "after").alias("_text"), F.length("e.before").alias("va"),
                        (F.length("e.before") + F.length("e.v")).alias("vb"), "e.label")
+    # equal forms are looked at once, in a fixed number of tasks: they are few bytes and much work
+    parts = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartition(parts, "_text").groupBy("_text", "va", "vb", "label").agg(F.count("*").cast("double").alias("n"))
     both = _candidates(base_spans(materialise(both, "pii-forms"), "_text"), "_text")
-    both = both.select(F.explode("_more").alias("c"), "va", "vb", "label").where("NOT c.known AND c.a < vb AND va < c.b")
+    both = both.select(F.explode("_more").alias("c"), "va", "vb", "label", "n").where("NOT c.known AND c.a < vb AND va < c.b")
     real = _candidates(chosen, "_text").select(F.explode("_more").alias("c"))
-    real = real.where("NOT c.known AND (c.date > 0 OR c.digits >= 13 AND c.luhn = 0)").select("c", F.lit(0.0).alias("label"))
-    seen = both.select("c", "label").unionByName(real).withColumn("kind", _kind(F.col("c"))).where("kind IS NOT NULL")
-    return seen.select(*(F.col(f"c.{f}").alias(f) for f in FEATURES), "kind", "label")
+    real = real.where("NOT c.known AND (c.date > 0 OR c.digits >= 13 AND c.luhn = 0)").select("c", F.lit(0.0).alias("label"), F.lit(1.0).alias("n"))
+    seen = both.select("c", "label", "n").unionByName(real).withColumn("kind", _kind(F.col("c"))).where("kind IS NOT NULL")
+    return seen.select(*(F.col(f"c.{f}").alias(f) for f in FEATURES), "kind", "label", "n")
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE):
-    """(trees, weights, thresholds by kind) or None: a model of candidates, learned from a bounded sample of documents."""
-    rows = docs.count()
-    chosen = docs.where(F.pmod(F.xxhash64(F.lit("pii"), key), F.lit(max(rows, 1))) < sample)
-    chosen = base_spans(chosen.select(F.coalesce(F.col(text), F.lit("")).alias("_text")), "_text")
-    seen = materialise(examples(materialise(chosen, "pii-sample")), "pii-candidates")
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text"):
+    """(trees, weights, thresholds by kind) or None: a model of the candidates of all documents."""
+    rows = base_spans(docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text")), "_text")
+    seen = examples(materialise(rows, "pii-spans")).groupBy(*FEATURES, "kind", "label").agg(F.sum("n").alias("n"))
+    seen = materialise(seen, "pii-candidates")
     if seen.select("label").distinct().count() < 2:
         return None
     ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(seen)
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxBins=16).fit(ready.coalesce(2))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxBins=16, weightCol="n").fit(ready)
     trees = [t._call_java("rootNode") for t in model.trees]
     weights = list(model.treeWeights)
-    scored = seen.select("kind", "label", _score(F.struct(*FEATURES), (trees, weights)).alias("score"))
-    by = scored.groupBy("kind", "score").agg(F.sum("label").alias("right"), F.count("*").alias("all")).orderBy(F.desc("score")).collect()
+    scored = seen.select("kind", "label", "n", _score(F.struct(*FEATURES), (trees, weights)).alias("score"))
+    by = scored.groupBy("kind", "score").agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("all")).orderBy(F.desc("score")).collect()
     # no score is good enough until one is found
     right, total, threshold = dict.fromkeys(KINDS, 0.0), dict.fromkeys(KINDS, 0.0), dict.fromkeys(KINDS, float("inf"))
     for row in by:

@@ -409,3 +409,11 @@ def test_language_limits_come_from_all_training_texts(spark, monkeypatch):
     ce, n = langid._cross_entropies([t.encode() for t in texts], model, langid.alphabet())
     mean = np.average(ce[:, 0], weights=n)
     assert np.isclose(model["mean"][0], mean) and np.isclose(model["deviation"][0], np.sqrt(np.mean(n * (ce[:, 0] - mean) ** 2)))
+
+
+def test_personal_data_is_learned_from_all_documents(spark, monkeypatch):
+    many = spark.range(40_000).selectExpr("id AS doc_id", "if(id % 100 = 0, concat('write to a', id, '@x.org'), 'nothing') AS text")
+    made = {}
+    monkeypatch.setattr(pii, "materialise", lambda df, label, write=pii.materialise: made.setdefault(label, write(df, label)))
+    assert pii.fit(many)[2]["email"] < float("inf")
+    assert made["pii-candidates"].where("kind = 'email' AND label = 1").agg({"n": "sum"}).first()[0] == 3 * 400
