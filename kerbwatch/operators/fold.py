@@ -80,50 +80,46 @@ class Rule:
         self.next_id = state["next"]
 
 
-class _Writer:
-    """Collects output rows column by column."""
-
-    def __init__(self, schema: T.StructType):
-        self.schema = to_arrow_schema(schema)
-        self.columns: list[list] = [[] for _ in schema]
-
-    def add(self, values) -> None:
-        for column, value in zip(self.columns, values):
-            column.append(value)
-
-    def take(self) -> pa.RecordBatch:
-        arrays = [pa.array(c, type=f.type) for c, f in zip(self.columns, self.schema)]
-        self.columns = [[] for _ in self.columns]
-        return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
-
-    def __len__(self) -> int:
-        return len(self.columns[0])
-
-
 def _scan(rule: Rule, n_keys: int, n_keep: int, n_order: int, schema: T.StructType):
-    """Task body: stream over rows sorted by key, chunk and order."""
+    """Task body: stream over rows sorted by key, chunk and order. Columns that are kept never become Python objects: they
+    are taken from the batch by row number."""
     n_out = len(schema) - n_keys - n_keep - 6
-    blank_keep, blank_out = (None,) * n_keep, (None,) * n_out
+    arrow = to_arrow_schema(schema)
+    first_keep = n_keys + 4 + n_order
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Writer(schema)
         group = frame = first = None
         entry: list | None = None
         now = 0.0
+        ends: list[tuple] = []
 
         def close():
             if entry is not None:
                 left = [(json.dumps(c), t, i) for c, t, i in rule.slots(now)]
-                out.add((1, group[-1], *group[:-1], *blank_keep, *blank_out, first,
-                         _memory(entry), _memory(left), rule.next_id - 1))
+                ends.append((group, first, _memory(entry), _memory(left), rule.next_id - 1))
+
+        def closed() -> pa.RecordBatch:
+            n = len(ends)
+            groups, *marks = zip(*ends)
+            keys = list(zip(*groups))
+            columns = [[1] * n, keys[-1], *keys[:-1], *[[None] * n] * (n_keep + n_out), *marks]
+            ends.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+        def found(batch: pa.RecordBatch, at: list[int], results: list[tuple]) -> pa.RecordBatch:
+            rows, n = pa.array(at, pa.int64()), len(at)
+            given = [pa.repeat(pa.scalar(0, pa.int32()), n)]
+            given += [batch.column(i).take(rows) for i in (n_keys, *range(n_keys), *range(first_keep, first_keep + n_keep))]
+            given = [c if c.type == f.type else c.cast(f.type) for c, f in zip(given, arrow)]
+            made = [pa.array(c, type=f.type) for c, f in zip(zip(*results), list(arrow)[len(given):])]
+            return pa.RecordBatch.from_arrays([*given, *made, *(pa.nulls(n, f.type) for f in list(arrow)[-4:])], schema=arrow)
 
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for values in zip(*columns):
+            at, results = [], []
+            columns = [c.to_pylist() for i, c in enumerate(batch.columns) if not first_keep <= i < first_keep + n_keep]
+            for row, values in enumerate(zip(*columns)):
                 here = values[: n_keys + 1]
                 warm, given, now_ = values[n_keys + 1: n_keys + 4]
-                order = values[n_keys + 4: n_keys + 4 + n_order]
-                rest = values[n_keys + 4 + n_order:]
                 if here != group:
                     close()
                     group, frame, entry = here, None, None
@@ -138,17 +134,20 @@ def _scan(rule: Rule, n_keys: int, n_keep: int, n_order: int, schema: T.StructTy
                         entry = [(s["sig"], s["t"], -(i + 1)) for i, s in enumerate(given)]
                     else:
                         entry = rule.rebase(now)
-                if (now, order[0]) != frame:
-                    frame = (now, order[0])
+                if (now, values[n_keys + 4]) != frame:
+                    frame = (now, values[n_keys + 4])
                     rule.begin_frame(now)
-                result = rule.row(now, *rest[n_keep:])
+                result = rule.row(now, *values[first_keep:])
                 if result is not None and not warm:
-                    out.add((0, here[-1], *here[:-1], *rest[:n_keep], *result, None, None, None, None))
-            if len(out) >= 50_000:
-                yield out.take()
+                    at.append(row)
+                    results.append(result)
+            if at:
+                yield found(batch, at, results)
+            if len(ends) >= 10_000:
+                yield closed()
         close()
-        if len(out):
-            yield out.take()
+        if ends:
+            yield closed()
 
     return body
 

@@ -4,10 +4,12 @@ import random
 from collections import defaultdict
 from itertools import groupby
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kerbwatch.operators import dedup, helmet, lanes, relate, rules, tracking, transitions
+from kerbwatch.operators import dedup, fold, helmet, lanes, relate, rules, tracking, transitions
 from kerbwatch.sources import config
 from tests import folds
 
@@ -294,3 +296,19 @@ def test_rule_memory_round_trip():
         r.begin_frame(3.0)
         counts[r.row(3.0, 125.0, 10.0, "R-l0", "car")] += 1
     assert list(counts.values()) == [2]
+
+
+def test_kept_columns_stay_in_arrow(spark):
+    """The rule runner passes kept columns on as they came, bytes that are no text included."""
+    memory = T._parse_datatype_string(fold._MEMORY)
+    schema = T.StructType([T.StructField(n, t) for n, t in (
+        ("_kind", T.IntegerType()), ("_chunk", T.LongType()), ("camera_id", T.StringType()), ("name", T.StringType()), ("kept", T.BooleanType()),
+        ("_t0", T.DoubleType()), ("_entry", memory), ("_exit", memory), ("_new", T.LongType()))])
+    names = pa.array([b"a", b"b", b"\xff"], pa.binary()).view(pa.string())
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["x"] * 3), pa.array([0] * 3), pa.array([False] * 3), pa.nulls(3), pa.array([0.0, 1.0, 5.0]), pa.array([1, 2, 3]), names],
+        names=["camera_id", "_chunk", "_warm", "_given", "_now", "_o0", "_p0"])
+    rows, ends = fold._scan(rules.Cooldown(3.0), 1, 1, 1, schema)(iter([batch]))
+    assert rows.column("name").cast(pa.binary()).to_pylist() == [b"a", b"\xff"] and rows.column("kept").to_pylist() == [True, True]
+    assert ends.select(["_kind", "_chunk", "camera_id", "name", "_t0", "_new"]).to_pylist() == [
+        {"_kind": 1, "_chunk": 0, "camera_id": "x", "name": None, "_t0": 0.0, "_new": 0}]
