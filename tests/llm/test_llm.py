@@ -417,3 +417,21 @@ def test_personal_data_is_learned_from_all_documents(spark, monkeypatch):
     monkeypatch.setattr(pii, "materialise", lambda df, label, write=pii.materialise: made.setdefault(label, write(df, label)))
     assert pii.fit(many)[2]["email"] < float("inf")
     assert made["pii-candidates"].where("kind = 'email' AND label = 1").agg({"n": "sum"}).first()[0] == 3 * 400
+
+
+def test_language_model_is_whole_however_few_grams_tasks_hold(spark):
+    """Grams that tasks do not hold are looked up in the whole model: scores do not depend on the bounds."""
+    words = "the cat sat on a mat and its dog lay by that door".split(), "le chat est sur un lit et son chien dort par terre".split()
+    texts = [(i % 7, " ".join(words[i % 2][(i * j + j * j // 3) % 11] + chr(97 + (i + j) % 26) for j in range(40)), ("en", "fr")[i % 2]) for i in range(60)]
+    texts += [(None, None, "en"), (3, "", "fr"), (3, "12 + 3", None), (3, "12 + 3", None), (61, "Ωμέγα zzxq", None), (62, "the 𐐷 cat", "en")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string")
+    whole = langid.fit(docs)
+    want = sorted(map(repr, ((r.doc_id, r.lang_pred, round(r.score, 3), r.cross_entropy and round(r.cross_entropy, 3), r.rejected) for r in langid.predict(docs, whole).collect())))
+    kept = sorted(map(repr, langid.keep(docs, whole).collect()))
+    for most in (1, 60):
+        model = langid.fit(docs, entries=2 * most, per_language=most)
+        assert len(model["gram4"]) <= most and "gram4" in model["open"] and not whole.get("open")
+        assert np.allclose(model["mean"], whole["mean"], rtol=1e-5) and np.allclose(model["deviation"], whole["deviation"], rtol=1e-4)
+        got = langid.predict(docs, model).collect()
+        assert sorted(map(repr, ((r.doc_id, r.lang_pred, round(r.score, 3), r.cross_entropy and round(r.cross_entropy, 3), r.rejected) for r in got))) == want
+        assert sorted(map(repr, langid.keep(docs, model).collect())) == kept
