@@ -192,8 +192,9 @@ def examples(chosen: DataFrame) -> DataFrame:
     parts = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     both = both.repartition(parts, "_text").groupBy("_text", "va", "vb", "label").agg(F.count("*").cast("double").alias("n"))
     both = _candidates(base_spans(materialise(both, "pii-forms"), "_text"), "_text")
-    both = both.select(F.explode("_more").alias("c"), "va", "vb", "label", "n").where("NOT c.known AND c.a < vb AND va < c.b")
-    real = _candidates(chosen, "_text").select(F.explode("_more").alias("c"))
+    # explode would have the planner test the array's size first, on copies of all that it is made of; the null rows go below
+    both = both.select(F.explode_outer("_more").alias("c"), "va", "vb", "label", "n").where("NOT c.known AND c.a < vb AND va < c.b")
+    real = _candidates(chosen, "_text").select(F.explode_outer("_more").alias("c"))
     real = real.where("NOT c.known AND (c.date > 0 OR c.digits >= 13 AND c.luhn = 0)").select("c", F.lit(0.0).alias("label"), F.lit(1.0).alias("n"))
     seen = both.select("c", "label", "n").unionByName(real).withColumn("kind", _kind(F.col("c"))).where("kind IS NOT NULL")
     return seen.select(*(F.col(f"c.{f}").alias(f) for f in FEATURES), "kind", "label", "n")

@@ -435,3 +435,13 @@ def test_language_model_is_whole_however_few_grams_tasks_hold(spark):
         got = langid.predict(docs, model).collect()
         assert sorted(map(repr, ((r.doc_id, r.lang_pred, round(r.score, 3), r.cross_entropy and round(r.cross_entropy, 3), r.rejected) for r in got))) == want
         assert sorted(map(repr, langid.keep(docs, model).collect())) == kept
+
+
+def test_personal_data_looks_at_each_candidate_once(spark):
+    """No filter below an explode has copies of the expressions that find the candidates."""
+    docs = spark.createDataFrame([("write to a@x.org or call +1 (555) 123-4567, on 2024-01-02",), ("",)], "_text string")
+    seen = pii.examples(pii.base_spans(docs, "_text").localCheckpoint())
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    conditions = [line for line in plan.split("\n") if line.lstrip(" :+-").startswith("Filter")]
+    assert conditions and not any("transform(" in line for line in conditions)
+    assert {(r.kind, r.label) for r in seen.collect()} >= {("email", 1.0), ("phone", 1.0), ("phone", 0.0)}
