@@ -1,5 +1,6 @@
 """Ordered rules: chunked Spark runs against sequential folds, whatever the chunk length."""
 
+import math
 import random
 from collections import defaultdict
 from itertools import groupby
@@ -312,3 +313,57 @@ def test_kept_columns_stay_in_arrow(spark):
     assert rows.column("name").cast(pa.binary()).to_pylist() == [b"a", b"\xff"] and rows.column("kept").to_pylist() == [True, True]
     assert ends.select(["_kind", "_chunk", "camera_id", "name", "_t0", "_new"]).to_pylist() == [
         {"_kind": 1, "_chunk": 0, "camera_id": "x", "name": None, "_t0": 0.0, "_new": 0}]
+
+
+def test_first_come_with_and_without_conflicts(spark):
+    """Frames that need no walk and frames that do give what a walk gives; items without an id are never taken."""
+    rng = random.Random(3)
+    rows = [("c", f, rng.choice([None, *range(6)]) if f % 5 == 0 else rng.randrange(6), rng.randrange(3) / 2, rng.choice([None, *range(7)]))
+            for f in range(60) for _ in range(rng.randrange(1, 6))]
+    rows += [("c", 100 + f, k, 0.0, k) for f in range(5) for k in range(4)]
+    df = spark.createDataFrame(rows, "camera_id string, frame_number bigint, taker bigint, wish double, taken bigint")
+    for capacity in (1, 3):
+        want = []
+        for frame in {r[1] for r in rows}:
+            used, last, n = [], -1, 0
+            for r in sorted((r for r in rows if r[1] == frame), key=lambda r: tuple((v is not None, v or 0) for v in r[2:])):
+                n = n if r[2] is not None and r[2] == last else 0
+                if n < capacity and r[4] is not None and r[4] not in used:
+                    used.append(r[4])
+                    n += 1
+                    want.append(r)
+                last = r[2]
+        got = [(r.camera_id, r.frame_number, r.taker, r.wish, r.taken) for r in relate._first_come(df, capacity).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_heads_are_matched_once(spark, boxes):
+    """The candidates of the helmet rule read the matched heads several times; the matching is planned for the riders only."""
+    plan = helmet.candidates(boxes)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 1
+
+
+def test_nearest_and_repeats_by_the_plain_formula():
+    rng = random.Random(5)
+    tracker, repeats = rules.Tracker(100.0, 2.0), rules.Repeats(3.0, 50.0)
+    live, recent, ids = [], [], 0
+    for i in range(1500):
+        now, cx, cy = i // 3 * 0.25, rng.randrange(0, 500, 25) * 1.0, rng.randrange(0, 300, 25) * 1.0
+        if i % 3 == 0:
+            tracker.begin_frame(now)
+            live, taken = [s for s in live if now - s[2] <= 2.0], set()
+        free = [(math.sqrt((cx - s[0]) ** 2 + (cy - s[1]) ** 2), n) for n, s in enumerate(live) if s[3] not in taken]
+        best = min(free, default=(math.inf, None))
+        if best[0] > 100.0:
+            ids += 1
+            live.append([cx, cy, now, ids])
+            best = best[0], len(live) - 1
+        slot = live[best[1]]
+        slot[:3] = cx, cy, now
+        taken.add(slot[3])
+        assert tracker.row(now, cx, cy)[0] == slot[3]
+        recent = [r for r in recent if now - r[0] < 3.0]
+        repeated = any(r[1] == slot[3] or math.sqrt((cx - r[2]) ** 2 + (cy - r[3]) ** 2) < 50.0 for r in recent)
+        assert (repeats.row(now, slot[3], cx, cy) is None) == repeated
+        if not repeated:
+            recent.append([now, slot[3], cx, cy])
